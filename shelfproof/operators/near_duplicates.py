@@ -24,10 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfproof.functions import similarity
+from shelfproof.session import cut_lineage
 
 MAX_SUBSET_TOKENS = 8      # up to this many tokens all subsets become keys
 MAX_REMOVABLE = 10         # up to this many short tokens all removals become keys
-ID_TAIL = 3                # characters of an id that tell records of a rank bucket apart
 
 
 def _char_hash(item: Column) -> Column:
@@ -88,7 +88,8 @@ def _subset_keys(classes: DataFrame, threshold: int) -> tuple[DataFrame, DataFra
     total = F.aggregate("tokens", F.lit(0).cast("long"), lambda s, x: s + _char_hash(x))
     # A class left with more tokens than a short set has cannot be its subset.
     fits = F.size("tokens") - F.size("short") <= MAX_SUBSET_TOKENS
-    plain = [F.lit(-1).alias("space"), F.lit(0).alias("deleted"), F.lit(0).alias("slack")]
+    plain = [F.lit(-1).alias("space"), F.lit(0).alias("deleted"), F.lit(0).alias("slack"),
+             F.lit(0).alias("least")]
     cores = (classes.where(~F.col("many") & fits)
              .select("category", "class", *plain, total.alias("total"),
                      F.explode(_removal_sums(F.col("short"), F.col("budget"))).alias("removed"))
@@ -126,22 +127,25 @@ def _edit_keys(classes: DataFrame, threshold: int) -> DataFrame:
         F.slice("distinct", i + 1, F.size("distinct")),
         lambda g: less(2, F.col("sum") - h - g))))
     keys = F.concat(none, one, F.when(F.col("slack") >= 2, two).otherwise(F.slice(one, 1, 0)))
+    # Equal characters in another order are two edits apart at least, so k = 1 rules them out.
+    least = F.when(F.col("k") == 1, 1).otherwise(0)
     # k and part name the key space; a part number never exceeds its k.
     return keyed.select("category", "class", (F.col("k") * 100000 + F.col("part")).alias("space"),
-                        "slack", F.inline(keys))
+                        "slack", least.alias("least"), F.inline(keys))
 
 
 def _keyed_candidates(classes: DataFrame, threshold: int) -> DataFrame:
     cores, subsets = _subset_keys(classes, threshold)
     edits = _edit_keys(classes, threshold)
-    columns = ["category", "space", "key", "deleted", "slack", "class"]
+    columns = ["category", "space", "key", "deleted", "slack", "least", "class"]
     left = cores.select(columns).unionByName(edits.select(columns)) \
         .withColumnsRenamed({"class": "a", "deleted": "deleted_a"})
-    right = subsets.select(columns).unionByName(edits.select(columns)).drop("slack") \
+    right = subsets.select(columns).unionByName(edits.select(columns)).drop("slack", "least") \
         .withColumnsRenamed({"class": "b", "deleted": "deleted_b"})
     return (left.join(right, ["category", "space", "key"])
             .where(((F.col("a") < F.col("b")) | ((F.col("space") < 0) & (F.col("a") != F.col("b"))))
-                   & (F.col("deleted_a") + F.col("deleted_b") <= F.col("slack")))
+                   & (F.col("deleted_a") + F.col("deleted_b")).between(F.col("least"),
+                                                                      F.col("slack")))
             .select("a", "b"))
 
 
@@ -267,26 +271,30 @@ def _probes(members: DataFrame, links: DataFrame) -> DataFrame:
 def match_counts(articles: DataFrame, threshold: int = 97) -> DataFrame:
     """`flagged` with `matches`, the number of earlier allowed records of the matched class.
 
-    Counting earlier ids in a class is a rank. Ids are cut into buckets by all but their last
-    characters, which keeps every bucket small; a bucket's rank is the sum of those before it.
+    Counting earlier ids in a class is a rank. Records are range-partitioned by class and id, so
+    a large class spreads over many partitions; a record's rank is its rank in its partition
+    plus the counts of the partitions before it.
     """
     described, links = _linked(articles, threshold)
     probes = _probes(described, links)
-    tail = described.agg(F.max(F.length("article_id")) - ID_TAIL).scalar()
     events = (described.select(F.col("class").alias("c"), F.col("article_id").alias("id"),
-                               F.lit(1).alias("is_member"), F.lit(None).cast("string").alias("first_match"),
+                               F.lit(1).alias("is_member"),
+                               F.lit(None).cast("string").alias("first_match"),
                                F.lit(None).cast("double").alias("score"))
               .unionByName(probes.select(
                   F.col("matched_class").alias("c"), F.col("record_id").alias("id"),
-                  F.lit(0).alias("is_member"), "first_match", "score"))
-              .withColumn("bucket", F.substring(F.col("id"), F.lit(1), F.greatest(tail, F.lit(0)))))
-    before = Window.partitionBy("c").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (events.groupBy("c", "bucket").agg(F.sum("is_member").alias("n"))
-               .select("c", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
-    inside = Window.partitionBy("c", "bucket").orderBy("id", "is_member") \
+                  F.lit(0).alias("is_member"), "first_match", "score")))
+    # Written once, so that a retry cannot meet other range bounds.
+    ranged = cut_lineage(events.repartitionByRange("c", "id", "is_member")
+                         .withColumn("range", F.spark_partition_id()))
+    # One row per class and partition.
+    before = Window.partitionBy("c").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("c", "range").agg(F.sum("is_member").alias("n"))
+               .select("c", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    inside = Window.partitionBy("c", "range").orderBy("id", "is_member") \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (events.withColumn("rank", F.sum("is_member").over(inside))
-              .where("is_member = 0").join(offsets, ["c", "bucket"])
+    ranked = (ranged.withColumn("rank", F.sum("is_member").over(inside))
+              .where("is_member = 0").join(offsets, ["c", "range"])
               .select(F.col("id").alias("record_id"), F.col("c").alias("matched_class"),
                       "first_match", "score", (F.col("rank") + F.col("offset")).alias("earlier")))
     # Parent and child in matching classes: the earlier of the two does not count.

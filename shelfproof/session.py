@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Call sites are recorded per expression otherwise, at a round trip to the JVM each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -8,6 +8,7 @@ above cost, item dates inside the header's, status that follows from the dates.
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,7 @@ OPEN_END = date(2099, 12, 31)
 
 
 def _ordered(df: DataFrame, table: str) -> DataFrame:
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name)
-                      for f in TABLE_SCHEMAS[table].fields])
+    return df.to(TABLE_SCHEMAS[table])
 
 
 def _category() -> Column:
@@ -166,18 +166,17 @@ def listing(lines: DataFrame, clean: bool = False) -> DataFrame:
 
 def tables_from(spark: SparkSession, folder: str, clean: bool = False) -> Tables:
     """The six tables, each built only when asked for."""
+    @cache
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    def header() -> DataFrame:
-        return promotion_header(read("orders"), read("customer"), clean)
-
+    @cache
     def lines() -> DataFrame:
-        return _lines(read("lineitem"), read("part"), header())
+        return _lines(read("lineitem"), read("part"), tables["promotion_header"])
 
     tables = Tables({
         "article_master": lambda: article_master(read("part"), clean),
-        "promotion_header": header,
+        "promotion_header": lambda: promotion_header(read("orders"), read("customer"), clean),
         "promotion_item": lambda: promotion_item(lines(), clean),
         "listing": lambda: listing(lines(), clean),
         "article_site": lambda: derive.article_site(
