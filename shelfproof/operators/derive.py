@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,7 +88,8 @@ def pick_articles(headers: DataFrame, articles: DataFrame, listing: DataFrame,
     A group's eligible articles are numbered in hash order and a promotion takes consecutive
     numbers from a drawn start, so nothing is built per (promotion, eligible article).
     """
-    eligible = _eligible(articles, listing)
+    # Two narrow columns, read three times below.
+    eligible = _eligible(articles, listing).persist(StorageLevel.MEMORY_AND_DISK)
     numbered = ordinals(eligible, text.keyed_hash(seed, "eligible", F.col("store_group"),
                                                   F.col("article_id")),
                         groups=["store_group"])
@@ -155,11 +157,11 @@ def item_windows(items: DataFrame, seed: int = SEED) -> DataFrame:
 def promotion_items(headers: DataFrame, articles: DataFrame, listing: DataFrame,
                     seed: int = SEED) -> DataFrame:
     """Valid promotion items for the headers, with the effective unit price."""
-    items = item_windows(price_items(pick_articles(headers, articles, listing, seed),
-                                     articles, seed), seed)
-    number = text.padded("PIT", F.col("ordinal"), 6)
-    return (ordinals(items, text.keyed_hash(seed, "item", F.col("promo_id"), F.col("article_id")))
-            .withColumn("promo_item_id", number)
+    # Numbered while still narrow.
+    picks = ordinals(pick_articles(headers, articles, listing, seed),
+                     text.keyed_hash(seed, "item", F.col("promo_id"), F.col("article_id")))
+    return (item_windows(price_items(picks, articles, seed), seed)
+            .withColumn("promo_item_id", text.padded("PIT", F.col("ordinal"), 6))
             .select(*TABLE_SCHEMAS["promotion_item"].names, "effective_unit_price"))
 
 

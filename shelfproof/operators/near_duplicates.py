@@ -7,14 +7,17 @@ Which classes can be similar (n = length of the joined tokens, t = allowed share
   A. One class, less some short tokens, is a subset of the other. Every subset of a short token
      set is a key, and so is every class less its removable tokens; equal keys meet. For long
      token sets the rarest tokens of the one meet any token of the other.
-  B. The texts differ by k = floor(2t/(1-t) n) characters at most. Then so do their characters as
-     multisets. Characters are split into parts so that one part differs by two at most, and the
-     keys are the sum of the part's character hashes less up to two of them.
+  B. The texts differ by d <= k = floor(2t/(1-t) n) inserted or deleted characters (or blanks).
+     One deletion on either side, at most: the token sets after one deletion are keys; this finds
+     d = 1, and d = 2 but for two deletions on the same side.
+     Otherwise the characters differ by k at most as multisets. They are split into parts so that
+     one part differs by two at most, and the keys are the sum of the part's character hashes
+     less up to two of them. For k = 2 only two deletions on one side are left to find this way.
 Both give candidates only; each candidate is then scored, so no hash collision can do harm.
 
-The result has a row per record and similar class, not per pair of records: `first_match` is the
-earliest earlier record of the class and `matches` the number of them, so that the sum of
-`matches` is the number of pairs.
+The result has a row per record that has earlier near-duplicates, not per pair: copies may be a
+third of all records, and their pairs too many to store. `first_match` is the earliest of them;
+`match_counts` adds `matches`, how many there are, so that its sum is the number of pairs.
 """
 
 from __future__ import annotations
@@ -30,8 +33,8 @@ MAX_SUBSET_TOKENS = 8      # up to this many tokens all subsets become keys
 MAX_REMOVABLE = 10         # up to this many short tokens all removals become keys
 
 
-def _char_hash(item: Column) -> Column:
-    """Forty bits, so that sums of up to 2^23 of them fit a long."""
+def _hash40(item: Column) -> Column:
+    """Of a token or character. Forty bits, so that sums of up to 2^23 of them fit a long."""
     return F.shiftrightunsigned(F.xxhash64(item), 24)
 
 
@@ -76,44 +79,81 @@ def _removal_sums(short: Column, budget: Column) -> Column:
 
     def grow(sets: Column, token: Column) -> Column:
         grown = F.transform(sets, lambda x: F.struct(
-            (x["sum"] + _char_hash(token)).alias("sum"),
+            (x["sum"] + _hash40(token)).alias("sum"),
             (x["len"] + 1 + F.length(token)).alias("len")))
         return F.concat(sets, F.filter(grown, lambda x: x["len"] <= budget)).cast(kind)
 
     return F.transform(F.aggregate(short, start, grow), lambda x: x["sum"])
 
 
-def _subset_keys(classes: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+KEY_COLUMNS = ["category", "class", "space", "deleted", "slack", "key"]
+
+
+def _total() -> Column:
+    return F.aggregate("tokens", F.lit(0).cast("long"), lambda s, x: s + _hash40(x))
+
+
+def _plain(keys: DataFrame, space: int) -> DataFrame:
+    """Keys of a space in which equal keys are all that is asked."""
+    return keys.withColumns({"space": F.lit(space), "deleted": F.lit(0), "slack": F.lit(0)}) \
+               .select(KEY_COLUMNS)
+
+
+def _subset_keys(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Path A for token sets of up to MAX_SUBSET_TOKENS: keys of class a and of class b."""
-    total = F.aggregate("tokens", F.lit(0).cast("long"), lambda s, x: s + _char_hash(x))
     # A class left with more tokens than a short set has cannot be its subset.
     fits = F.size("tokens") - F.size("short") <= MAX_SUBSET_TOKENS
-    plain = [F.lit(-1).alias("space"), F.lit(0).alias("deleted"), F.lit(0).alias("slack"),
-             F.lit(0).alias("least")]
     cores = (classes.where(~F.col("many") & fits)
-             .select("category", "class", *plain, total.alias("total"),
+             .select("category", "class", _total().alias("total"),
                      F.explode(_removal_sums(F.col("short"), F.col("budget"))).alias("removed"))
-             .withColumn("key", F.col("total") - F.col("removed")).drop("total", "removed"))
+             .withColumn("key", F.col("total") - F.col("removed")))
     subsets = (classes.where(F.size("tokens") <= MAX_SUBSET_TOKENS)
-               .select("category", "class", *plain,
-                       F.explode(_subset_sums(F.transform("tokens", _char_hash))).alias("key"))
+               .select("category", "class",
+                       F.explode(_subset_sums(F.transform("tokens", _hash40))).alias("key"))
                .where("key <> 0"))
-    return cores, subsets
+    return _plain(cores, -1), _plain(subsets, -1)
 
 
-def _edit_keys(classes: DataFrame, threshold: int) -> DataFrame:
-    """Path B. floor(k/3) + 1 parts leave floor(k/parts) <= 2 differences for one of them."""
+def _with_edits(classes: DataFrame, threshold: int) -> DataFrame:
+    """Add k, and k_low: a partner may be shorter by the factor T/(200-T), and the smaller k of
+    a pair says where to look for it."""
     k = _allowed("length", threshold)
-    # A partner may be shorter by the factor T/(200-T); the smaller k of a pair sets the parts.
     k_low = F.floor(k * threshold / F.lit(200 - threshold)).cast("int") - 1
-    keyed = (classes.withColumn("k", k).where("k > 0")
+    return classes.withColumn("k", k).where("k > 0").withColumn("k_low", F.greatest(F.lit(1), k_low))
+
+
+def _one_deletion_keys(edited: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Path B with at most one deletion per side: token hash sums of a set and of what is left.
+
+    Joining is deletion of the blank between two tokens; the rests are sorted, so the lower
+    token comes first.
+    """
+    near = edited.where("k_low <= 2").withColumn("total", _total())
+    shorter = F.flatten(F.transform("tokens", lambda x: F.transform(
+        F.sequence(F.lit(1), F.length(x)),
+        lambda p: F.col("total") - _hash40(x) + _hash40(F.concat(
+            x.substr(F.lit(1), p - 1), x.substr(p + 1, F.length(x)))))))
+    merged = F.flatten(F.transform("tokens", lambda x, i: F.transform(
+        F.slice("tokens", i + 2, F.size("tokens")),
+        lambda y: F.col("total") - _hash40(x) - _hash40(y) + _hash40(F.concat(x, y)))))
+    whole = near.select("category", "class", F.col("total").alias("key"))
+    less = near.select("category", "class", F.explode(F.concat(shorter, merged)).alias("key"))
+    # One deletion in all suffices for k = 1; one on each side is for k = 2.
+    both = _plain(near.where("k >= 2").select(
+        "category", "class", F.explode(F.concat(shorter, merged)).alias("key")), -3)
+    return _plain(less, -2).unionByName(both), _plain(whole, -2).unionByName(both)
+
+
+def _multiset_keys(edited: DataFrame) -> DataFrame:
+    """Path B by characters. floor(k/3) + 1 parts leave floor(k/parts) <= 2 edits for one."""
+    keyed = (edited.where("k >= 2")
              .withColumn("chars", F.split(similarity.joined(F.col("tokens")), ""))
-             .withColumn("k", F.explode(F.sequence(F.greatest(F.lit(1), k_low), "k")))
+             .withColumn("k", F.explode(F.sequence(F.greatest(F.lit(2), F.col("k_low")), "k")))
              .withColumn("parts", (F.floor(F.col("k") / 3) + 1).cast("int"))
              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("hashes", F.transform(
                  F.filter("chars", lambda c: F.ascii(c) % F.col("parts") == F.col("part")),
-                 _char_hash))
+                 _hash40))
              .withColumn("slack", F.floor(F.col("k") / F.col("parts")).cast("int"))
              .withColumn("sum", F.aggregate("hashes", F.lit(0).cast("long"), lambda s, h: s + h))
              .withColumn("distinct", F.array_distinct("hashes")))
@@ -126,27 +166,31 @@ def _edit_keys(classes: DataFrame, threshold: int) -> DataFrame:
     two = F.flatten(F.transform("distinct", lambda h, i: F.transform(
         F.slice("distinct", i + 1, F.size("distinct")),
         lambda g: less(2, F.col("sum") - h - g))))
-    keys = F.concat(none, one, F.when(F.col("slack") >= 2, two).otherwise(F.slice(one, 1, 0)))
-    # Equal characters in another order are two edits apart at least, so k = 1 rules them out.
-    least = F.when(F.col("k") == 1, 1).otherwise(0)
+    nothing = F.slice(one, 1, 0)
+    keys = F.concat(none, F.when(F.col("k") > 2, one).otherwise(nothing),
+                    F.when(F.col("slack") >= 2, two).otherwise(nothing))
     # k and part name the key space; a part number never exceeds its k.
     return keyed.select("category", "class", (F.col("k") * 100000 + F.col("part")).alias("space"),
-                        "slack", least.alias("least"), F.inline(keys))
+                        "slack", F.inline(keys)).select(KEY_COLUMNS)
 
 
 def _keyed_candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    cores, subsets = _subset_keys(classes, threshold)
-    edits = _edit_keys(classes, threshold)
-    columns = ["category", "space", "key", "deleted", "slack", "least", "class"]
-    left = cores.select(columns).unionByName(edits.select(columns)) \
+    edited = _with_edits(classes, threshold)
+    cores, subsets = _subset_keys(classes)
+    shorter, whole = _one_deletion_keys(edited)
+    parts = _multiset_keys(edited)
+    left = cores.unionByName(shorter).unionByName(parts) \
         .withColumnsRenamed({"class": "a", "deleted": "deleted_a"})
-    right = subsets.select(columns).unionByName(edits.select(columns)).drop("slack", "least") \
+    right = subsets.unionByName(whole).unionByName(parts).drop("slack") \
         .withColumnsRenamed({"class": "b", "deleted": "deleted_b"})
+    # Two deletions on one side are the only way left for k = 2 to find a pair by characters.
+    k_two = F.col("space").between(200000, 299999)
+    asked = (F.col("deleted_a") + F.col("deleted_b")).between(F.when(k_two, 2).otherwise(0),
+                                                              F.col("slack"))
+    # Spaces -1 and -2 have different keys for a and for b; in the others a pair meets twice.
+    once = F.col("space").isin(-1, -2) | (F.col("a") < F.col("b"))
     return (left.join(right, ["category", "space", "key"])
-            .where(((F.col("a") < F.col("b")) | ((F.col("space") < 0) & (F.col("a") != F.col("b"))))
-                   & (F.col("deleted_a") + F.col("deleted_b")).between(F.col("least"),
-                                                                      F.col("slack")))
-            .select("a", "b"))
+            .where((F.col("a") != F.col("b")) & once & asked).select("a", "b"))
 
 
 def _token_candidates(classes: DataFrame, threshold: int) -> DataFrame:
@@ -168,7 +212,7 @@ def _token_candidates(classes: DataFrame, threshold: int) -> DataFrame:
 
 
 def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
-    """Pairs of different classes (a < b) that reach the threshold, with their score."""
+    """Pairs of different classes (a < b) that reach the threshold: score and sizes."""
     if not 50 < threshold < 100:
         raise ValueError("threshold must lie between 50 and 100")
     # Removing tokens of joined length a needs 1 + a <= allowance * s, and s < n.
@@ -181,11 +225,12 @@ def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
     candidates = (candidates
                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .distinct())
-    text_of = classes.select("class", "tokens")
-    pairs = (candidates
-             .join(text_of.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-             .join(text_of.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b")), "b"))
-    pairs = pairs.select("a", "b", *[c.alias(name) for name, c in similarity.rest_lengths(
+    def side(name: str) -> DataFrame:
+        return classes.select(F.col("class").alias(name), F.col("tokens").alias(f"tokens_{name}"),
+                              F.col("members").alias(f"members_{name}"))
+
+    pairs = candidates.join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.select("a", "b", "members_a", "members_b", *[c.alias(name) for name, c in similarity.rest_lengths(
         F.col("tokens_a"), F.col("tokens_b")).items()])
     p = similarity.paths(F.col("shared_len"), F.col("rest_a"), F.col("rest_b"))
 
@@ -207,38 +252,29 @@ def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
         F.when(F.col("distance").isNotNull(), closeness(F.col("distance"), p["indel_base"])),
         F.when(shares, closeness(p["short_a"], p["base_a"])),
         F.when(shares, closeness(p["short_b"], p["base_b"]))))
-    return scored.where(p["subset"] | closed | edit).select("a", "b", score.alias("score"))
+    return scored.where(p["subset"] | closed | edit).select(
+        "a", "b", score.alias("score"), "members_a", "members_b")
 
 
-def _first_candidates(members: DataFrame) -> DataFrame:
+def _earliest(rows: DataFrame) -> DataFrame:
     """Per class, the few records among which the earliest allowed partner always is.
 
     A record may not match its parent (one record) nor its children (one group of equal parent).
     So at most two of the groups by parent can be ruled out by their first record, and in the
     right group at most one record: two records of each of the first three groups suffice.
+    Both ranks are limited before the shuffle.
     """
     by_parent = Window.partitionBy("class", "parent_article_id").orderBy("article_id") \
                       .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_leader = Window.partitionBy("class").orderBy("leader")
-    kept = (members.select("class", "article_id", "parent_article_id")
-            .withColumn("place", F.row_number().over(by_parent))
+    return (rows.withColumn("place", F.row_number().over(by_parent))
             .withColumn("leader", F.first("article_id").over(by_parent)).where("place <= 2")
-            .withColumn("group_place", F.dense_rank().over(by_leader)).where("group_place <= 3"))
-    # Six structs at most.
-    return kept.groupBy("class").agg(F.collect_list(
-        F.struct("article_id", "parent_article_id")).alias("firsts"))
-
-
-def flagged(articles: DataFrame, threshold: int = 97) -> DataFrame:
-    """Each record with each similar class that has an earlier record.
-
-    record_id, class, matched_class, first_match (the earliest record it may match), score.
-    """
-    return _probes(*_linked(articles, threshold))
+            .withColumn("group_place", F.dense_rank().over(by_leader)).where("group_place <= 3")
+            .drop("place", "leader", "group_place"))
 
 
 def _linked(articles: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """Described articles whose class is similar to a class, and those links both ways.
+    """Described articles, and the links between their classes in both directions.
 
     A class with copies is linked to itself.
     """
@@ -246,70 +282,103 @@ def _linked(articles: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     # Read by every path below, so kept; lost blocks are computed again.
     classes = classes_of(described).persist(StorageLevel.MEMORY_AND_DISK)
     pairs = similar_classes(classes, threshold)
-    both = pairs.select(F.inline(F.array(
-        F.struct(F.col("a").alias("class"), F.col("b").alias("matched_class"), "score"),
-        F.struct(F.col("b").alias("class"), F.col("a").alias("matched_class"), "score"))))
+
+    def link(one: str, other: str) -> Column:
+        return F.struct(F.col(one).alias("class"), F.col(other).alias("matched_class"), "score",
+                        F.col(f"members_{one}").alias("members"),
+                        F.col(f"members_{other}").alias("matched_members"))
+
+    both = pairs.select(F.inline(F.array(link("a", "b"), link("b", "a"))))
     own = classes.where("members > 1").select(
-        "class", F.col("class").alias("matched_class"), F.lit(100.0).alias("score"))
+        "class", F.col("class").alias("matched_class"), F.lit(100.0).alias("score"), "members",
+        F.col("members").alias("matched_members"))
     return described.drop("merch_category", "tokens"), both.unionByName(own)
 
 
-def _probes(members: DataFrame, links: DataFrame) -> DataFrame:
-    firsts = _first_candidates(members)
-    reach = links.join(firsts.withColumnRenamed("class", "matched_class"), "matched_class")
+def flagged(articles: DataFrame, threshold: int = 97) -> DataFrame:
+    """record_id, first_match (the earliest record it matches) and their score."""
+    return _flagged(*_linked(articles, threshold))
+
+
+def _flagged(members: DataFrame, links: DataFrame) -> DataFrame:
+    firsts = _earliest(members.select("class", "article_id", "parent_article_id"))
+    # The earliest of the linked classes together, six records at most per class.
+    reach = (links.select("class", F.col("matched_class").alias("from"), "score")
+             .join(firsts.withColumnRenamed("class", "from"), "from").drop("from"))
+    reach = _earliest(reach).groupBy("class").agg(F.collect_list(
+        F.struct("article_id", "parent_article_id", "score")).alias("firsts"))
     me, my_parent = F.col("article_id"), F.col("parent_article_id")
     allowed = F.filter("firsts", lambda x: (x["article_id"] < me)
                        & ~x["article_id"].eqNullSafe(my_parent)
                        & ~x["parent_article_id"].eqNullSafe(me))
-    return (members.join(reach, "class")
-            .withColumn("first_match", F.array_min(F.transform(allowed, lambda x: x["article_id"])))
-            .where(F.col("first_match").isNotNull())
-            .select(F.col("article_id").alias("record_id"), "class", "matched_class",
-                    "first_match", "score"))
+    first = F.array_min(F.transform(allowed, lambda x: F.struct(x["article_id"], x["score"])))
+    return (members.join(reach, "class").withColumn("first", first)
+            .where(F.col("first").isNotNull())
+            .select(F.col("article_id").alias("record_id"),
+                    F.col("first.article_id").alias("first_match"),
+                    F.col("first.score").alias("score")))
 
 
 def match_counts(articles: DataFrame, threshold: int = 97) -> DataFrame:
-    """`flagged` with `matches`, the number of earlier allowed records of the matched class.
+    """`flagged` with `matches`, the number of earlier records each record matches.
+
+    Counting earlier ids is a rank in a list. For a link, either the records of the class look
+    themselves up in the list of the matched class, or the records of the matched class are
+    copied into a list of the class, whichever are fewer: the work stays near the number of
+    links even when a large class is linked to many classes.
 
-    Counting earlier ids in a class is a rank. Records are range-partitioned by class and id, so
-    a large class spreads over many partitions; a record's rank is its rank in its partition
-    plus the counts of the partitions before it.
+    Lists are range-partitioned by id, so that a long one spreads over many partitions; a rank is
+    the rank in the partition plus the counts of the partitions before it.
     """
-    described, links = _linked(articles, threshold)
-    probes = _probes(described, links)
-    events = (described.select(F.col("class").alias("c"), F.col("article_id").alias("id"),
-                               F.lit(1).alias("is_member"),
-                               F.lit(None).cast("string").alias("first_match"),
-                               F.lit(None).cast("double").alias("score"))
-              .unionByName(probes.select(
-                  F.col("matched_class").alias("c"), F.col("record_id").alias("id"),
-                  F.lit(0).alias("is_member"), "first_match", "score")))
+    members, links = _linked(articles, threshold)
+    lookup = links.where("members <= matched_members")
+    copied = links.where("members > matched_members")
+    record = members.select("class", F.col("article_id").alias("id"))
+
+    def entries(kind: str, of: DataFrame, key: str, is_member: int) -> DataFrame:
+        """The records of the classes in `of`, as entries of the lists that `key` names."""
+        rows = of.select(F.col(key).alias("list"), F.col("class")).distinct()
+        return record.join(rows, "class").select(
+            F.concat(F.lit(kind), F.col("list")).alias("list"), "id",
+            F.lit(is_member).alias("is_member"))
+
+    looked_up = lookup.select("matched_class", F.col("matched_class").alias("class"))
+    copied_from = copied.select(F.col("class").alias("owner"), F.col("matched_class").alias("class"))
+    owners = copied.select("class", F.col("class").alias("owner"))
+    events = (entries("own:", looked_up, "matched_class", 1)
+              .unionByName(entries("own:", lookup, "matched_class", 0))
+              .unionByName(entries("copy:", copied_from, "owner", 1))
+              .unionByName(entries("copy:", owners, "owner", 0)))
     # Written once, so that a retry cannot meet other range bounds.
-    ranged = cut_lineage(events.repartitionByRange("c", "id", "is_member")
+    ranged = cut_lineage(events.repartitionByRange("list", "id", "is_member")
                          .withColumn("range", F.spark_partition_id()))
-    # One row per class and partition.
-    before = Window.partitionBy("c").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("c", "range").agg(F.sum("is_member").alias("n"))
-               .select("c", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
-    inside = Window.partitionBy("c", "range").orderBy("id", "is_member") \
+    # One row per list and partition.
+    before = Window.partitionBy("list").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("list", "range").agg(F.sum("is_member").alias("n")).select(
+        "list", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    inside = Window.partitionBy("list", "range").orderBy("id", "is_member") \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (ranged.withColumn("rank", F.sum("is_member").over(inside))
-              .where("is_member = 0").join(offsets, ["c", "range"])
-              .select(F.col("id").alias("record_id"), F.col("c").alias("matched_class"),
-                      "first_match", "score", (F.col("rank") + F.col("offset")).alias("earlier")))
-    # Parent and child in matching classes: the earlier of the two does not count.
-    child = described.where(F.col("parent_article_id").isNotNull()
-                            & (F.col("parent_article_id") != F.col("article_id")))
-    parent = described.select(F.col("article_id").alias("parent_article_id"),
-                              F.col("class").alias("parent_class"))
-    kin = child.join(parent, "parent_article_id")
+    earlier = (ranged.withColumn("rank", F.sum("is_member").over(inside))
+               .where("is_member = 0").join(offsets, ["list", "range"])
+               .groupBy(F.col("id").alias("record_id"))
+               .agg(F.sum(F.col("rank") + F.col("offset")).alias("earlier")))
+    return (_flagged(members, links).join(earlier, "record_id")
+            .join(_kin_counts(members, links), "record_id", "left")
+            .select("record_id", "first_match", "score",
+                    (F.col("earlier") - F.coalesce("kin", F.lit(0))).alias("matches")))
+
+
+def _kin_counts(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Per record, its earlier parents and children in linked classes: they do not count."""
+    child = members.where(F.col("parent_article_id").isNotNull()
+                          & (F.col("parent_article_id") != F.col("article_id")))
+    parent = members.select(F.col("article_id").alias("parent_article_id"),
+                            F.col("class").alias("parent_class"))
     child_first = F.col("article_id") < F.col("parent_article_id")
-    excluded = (kin.select(
+    pairs = child.join(parent, "parent_article_id").select(
         F.greatest("article_id", "parent_article_id").alias("record_id"),
         F.least("article_id", "parent_article_id").alias("earlier_id"),
+        F.when(child_first, F.col("parent_class")).otherwise(F.col("class")).alias("class"),
         F.when(child_first, F.col("class")).otherwise(F.col("parent_class")).alias("matched_class"))
-        .distinct()
-        .groupBy("record_id", "matched_class").agg(F.count(F.lit(1)).alias("kin")))
-    return (ranked.join(excluded, ["record_id", "matched_class"], "left")
-            .select("record_id", "first_match", "score", "matched_class",
-                    (F.col("earlier") - F.coalesce("kin", F.lit(0))).alias("matches")))
+    return (pairs.distinct().join(links, ["class", "matched_class"], "left_semi")
+            .groupBy("record_id").agg(F.count(F.lit(1)).alias("kin")))

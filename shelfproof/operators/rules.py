@@ -188,7 +188,7 @@ def barcode_invalidity(t: Tables, as_of: date) -> DataFrame:
 
 
 def duplicate_near_duplicate(t: Tables, as_of: date, threshold: int = 97) -> DataFrame:
-    """One row per article and similar description of earlier articles, naming the earliest."""
+    """One row per article that has earlier near-duplicates, naming the earliest of them."""
     return near_duplicates.flagged(t["article_master"], threshold).select(
         "record_id",
         sentence("duplicate_near_duplicate", "record_id", "first_match",

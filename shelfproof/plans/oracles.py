@@ -185,8 +185,8 @@ def _pairs(prefix: str) -> str:
                        OR 100 * (1 + lb) <= 3 * (2 * s + 1 + lb))) END AS hit
     FROM {prefix}rest r LEFT JOIN {prefix}indel USING (da, db)) WHERE hit),
 {prefix}matched AS MATERIALIZED (
-  SELECT b AS record_id, min(a) AS first_match, max(score) AS score, count(*) AS matches
-  FROM {prefix}near GROUP BY b, na)"""
+  SELECT b AS record_id, min(a) AS first_match, arg_min(score, a) AS score, count(*) AS matches
+  FROM {prefix}near GROUP BY b)"""
 
 
 def _rules(p: str = "") -> dict[str, str]:
