@@ -2,6 +2,7 @@
 
 BENCH_SF_DIR: folder of the driver tables; BENCH_CPUS: local cores; BENCH_RUNS: runs per query,
 of which the fastest counts. Every query writes all its rows to a sink that discards them.
+The log check and the scorecard read one staged injection run; whole_injection times such a run.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ HEADLINE = [
     "c04_header_item_date_mismatch", "c05_orphaned_cancelled_header", "c06_uom_pack_mismatch",
     "c07_tobacco_on_promotion", "c08_margin_breach", "c09_barcode_invalidity",
     "c10_duplicate_near_duplicate", "c11_completeness", "c12_stale_status",
-    "c10_match_counts", "e02_worklist", "v11_gate_summary", "whole_injection", "j13_corrupted_promotion_item",
+    "c10_match_counts", "e02_worklist", "v11_gate_summary", "whole_injection",
     "k_log_check", "r_scorecard", "d05_type_counts", "b08_promotion_items", "b11_change_log",
 ]
 
