@@ -8,6 +8,23 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+ORACLES["op1_minhash_near_dedup"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(
+          CASE WHEN len(w) >= 3 THEN list_transform(range(len(w) - 2),
+                                                    lambda k: array_to_string(w[k + 1:k + 3], ' '))
+               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS run FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+           FROM s x JOIN s y ON x.run = y.run AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents
+                         UNION SELECT doc_id, b FROM reach JOIN links ON a = other)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
 ORACLES["op8_benchmark_decontamination"] = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
 i AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id,

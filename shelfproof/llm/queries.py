@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfproof.llm import decontaminate, fingerprint, planes
+from shelfproof.llm import decontaminate, fingerprint, near_dedup, planes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of each document: 3-word shingle sets at least 85 % alike, transitively."""
+    return near_dedup.groups(_table(spark, folder, "documents"), size=3, percent=85)
+
+
 def op7_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     """All document ids written to plane files and read back from them."""
     path = planes.write(_table(spark, folder, "documents"),
@@ -43,4 +48,4 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op7_token_planes, op8_benchmark_decontamination, op9_fingerprints)}
+    op1_minhash_near_dedup, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints)}
