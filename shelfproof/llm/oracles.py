@@ -25,6 +25,24 @@ SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS componen
        doc_id = min(other) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
+_CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\]|<SYS>>|</SYS>>)"
+
+ORACLES["op6_reply_trees"] = rf"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+              FROM (SELECT conv_id, turn, role, text FROM conversations
+                    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                                     (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+           AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|' || url_encode(role) || '|>' || chr(10)) + length('<|end|>' || chr(10))
+                + length(regexp_replace(text, '{_CONTROL}', '\1\\\2\3', 'g'))) AS BIGINT)
+           AS formatted_chars
+FROM said GROUP BY conv_id"""
+
 ORACLES["op8_benchmark_decontamination"] = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
 i AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id,
