@@ -62,3 +62,36 @@ SELECT doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hi
        coalesce(items.n, 0) AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
        coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+ORACLES["op10_temperature_mixing"] = f"""
+WITH RECURSIVE t AS (
+    SELECT doc_id AS id, source,
+           CAST(sum(len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))) AS BIGINT) AS tokens
+    FROM documents GROUP BY ALL),
+s AS (SELECT source, sum(tokens) AS tokens, sum(sum(tokens)) OVER () AS total,
+             sum(tokens) / sum(sum(tokens)) OVER () AS share FROM t GROUP BY source),
+halved(turn, low, high) AS (
+    SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+    UNION ALL
+    SELECT turn + 1, CASE WHEN e >= 0.9 THEN (low + high) / 2 ELSE low END,
+           CASE WHEN e >= 0.9 THEN high ELSE (low + high) / 2 END
+    FROM (SELECT turn, low, high,
+                 (ln(sum(r)) - sum(r * ln(r)) / sum(r)) / ln(count(*)) AS e
+          FROM (SELECT turn, low, high, pow(share, (low + high) / 2) AS r
+                FROM halved, s WHERE turn < 40 AND tokens > 0) GROUP BY turn, low, high)),
+power AS (SELECT round(max(low), 6) AS power FROM halved WHERE turn = 40),
+w AS (SELECT source, tokens AS length,
+             CAST(round(pow(share, power) / sum(pow(share, power)) OVER () * total) AS BIGINT)
+                 AS quota
+      FROM s, power WHERE tokens > 0),
+used AS (SELECT t.*, length, quota, epoch, md5(concat_ws(':', 0, epoch, id)) AS key
+         FROM (SELECT t.*, w.length, w.quota, unnest(range(0, CAST((quota - 1) // length AS BIGINT) + 1)) AS epoch
+               FROM t JOIN w ON t.source IS NOT DISTINCT FROM w.source) t),
+placed AS (SELECT id, source, tokens, epoch, quota, key,
+                  CAST(epoch * length + coalesce(sum(tokens) OVER (
+                      PARTITION BY source, epoch ORDER BY key, id, tokens
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begins
+           FROM used)
+SELECT id, source, tokens, epoch, begins, begins * 16 // quota AS block,
+       md5(concat_ws(':', begins * 16 // quota, key)) AS place
+FROM placed WHERE begins < quota"""

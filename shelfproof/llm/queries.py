@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfproof.llm import chat, decontaminate, fingerprint, near_dedup, planes
+from shelfproof.llm import chat, decontaminate, fingerprint, mixing, near_dedup, planes
 from shelfproof.llm.graph import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,5 +68,11 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.compare_with_next(_table(spark, folder, "documents"))
 
 
+def op10_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """A mix of all sources with nine tenths of the greatest entropy, as large as the input."""
+    return mixing.mixed(_table(spark, folder, "documents"), blocks=16, entropy=0.9)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints)}
+    op1_minhash_near_dedup, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
+    op10_temperature_mixing)}
