@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfproof.llm import chat, decontaminate, fingerprint, mixing, near_dedup, planes
+from shelfproof.llm import chat, decontaminate, fingerprint, mixing, near_dedup, planes, toxicity
 from shelfproof.llm.graph import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,16 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.groups(_table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of each document; a fifth of the ids is never learned from."""
+    docs = _table(spark, folder, "documents")
+    model = toxicity.train(docs, _table(spark, folder, "labels"),
+                           toxicity.remainder(F.col("_id"), 5) == 0)
+    return toxicity.scores(docs, model).select(
+        "doc_id", (toxicity.remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation formatted, and what is read back from that.
 
@@ -74,5 +84,5 @@ def op10_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
+    op1_minhash_near_dedup, op4_toxicity, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
     op10_temperature_mixing)}
