@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfproof.llm import chat, decontaminate, fingerprint, mixing, near_dedup, planes, toxicity
+from shelfproof.llm import chat, decontaminate, fingerprint, mixing, near_dedup, pitman_yor, planes, toxicity
 from shelfproof.llm.graph import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,14 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """The log probability of each document; a seventh of the ids is never learned from."""
+    held_out = toxicity.remainder(F.col("doc_id"), 7) == 2
+    return pitman_yor.scores(_table(spark, folder, "documents"), held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op6_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation formatted, and what is read back from that.
 
@@ -84,5 +92,5 @@ def op10_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op4_toxicity, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
+    op1_minhash_near_dedup, op4_toxicity, op5_pitman_yor, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
     op10_temperature_mixing)}
