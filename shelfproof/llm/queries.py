@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfproof.llm import chat, decontaminate, fingerprint, html_text, mixing, near_dedup, pitman_yor, planes, toxicity
+from shelfproof.llm import chat, decontaminate, fingerprint, html_text, line_dedup, mixing, near_dedup, pitman_yor, planes, toxicity
 from shelfproof.llm.graph import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.groups(_table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document without the passages that an earlier one has."""
+    return line_dedup.deduplicate(_table(spark, folder, "documents"))
+
+
 def op3_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of each page."""
     return html_text.main_text(_table(spark, folder, "pages"))
@@ -97,5 +102,5 @@ def op10_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
+    op1_minhash_near_dedup, op2_line_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
     op10_temperature_mixing)}
