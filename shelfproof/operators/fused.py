@@ -26,9 +26,8 @@ def enrich(tables: Tables) -> DataFrame:
     headers = tables["promotion_header"].select(
         "promo_id", F.lit(True).alias("has_header"), "header_start", "header_end",
         "store_group", "approval_status")
-    listed = (tables["listing"].where(F.col("valid_from").isNotNull())
-              .select("article_id", "store_group").distinct()
-              .withColumn("is_listed", F.lit(True)))
+    listed = tables["listing"].where(F.col("valid_from").isNotNull()) \
+        .select("article_id", "store_group", F.lit(True).alias("is_listed"))
     items = tables["promotion_item"].select(
         "promo_item_id", "promo_id", "article_id", "mechanic", "promo_price",
         "item_start", "item_end")

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfproof.functions import text
+from shelfproof.functions import barcode, text
 from shelfproof.operators.numbering import exact_sample
 from shelfproof.schema import (
     REFERENCE_DATE,
@@ -138,7 +138,10 @@ def _late_ends(x: Injection) -> DataFrame:
 
 def _cancelled(x: Injection) -> DataFrame:
     headers = x.clean["promotion_header"].select("promo_id", "approval_status")
-    pool = headers.where(F.col("approval_status").isin("live", "approved"))
+    # Only a header with an item that is still to run can be cancelled wrongly.
+    current = x.clean["promotion_item"].where(F.col("item_end") >= F.lit(x.as_of)).select("promo_id")
+    pool = headers.where(F.col("approval_status").isin("live", "approved")) \
+                  .join(current, "promo_id", "left_semi")
     return x.pick(pool, "promo_id", "orphaned_cancelled_header")
 
 
@@ -209,10 +212,16 @@ def _loss_prices(x: Injection) -> DataFrame:
 
 def _bad_barcodes(x: Injection) -> DataFrame:
     name = "barcode_invalidity"
-    picked = x.pick(x.clean["article_master"].select("article_id", "barcode"), "article_id", name)
-    step = 1 + text.hash_slice(x.draw(name, "article_id"), 1) % 8
     code = F.col("barcode")
-    wrong = (F.ascii(F.substring(code, -1, 1)) - ord("0") + step) % 10
+    pool = x.clean["article_master"].where(code.rlike("^[0-9]{13}$")).select("article_id", "barcode")
+    picked = x.pick(pool, "article_id", name)
+    # A digit that is neither the present one nor, where that is wrong, the right one.
+    present = F.ascii(F.substring(code, 13, 1)) - ord("0")
+    gap = (barcode.check_digit(code) - present + 10) % 10
+    draw = text.hash_slice(x.draw(name, "article_id"), 1)
+    step = 1 + draw % F.when(gap == 0, 9).otherwise(8)
+    step = F.when((gap > 0) & (step >= gap), step + 1).otherwise(step)
+    wrong = (present + step) % 10
     return picked.withColumn("new_barcode", F.concat(
         code.substr(F.lit(1), F.length(code) - 1), wrong.cast("string")))
 

@@ -4,9 +4,8 @@ The score depends only on the set of tokens, so records with equal token sets fo
 and classes are compared instead of records. A group of copies, however large, is one class.
 
 Which classes can be similar (n = length of the joined tokens, t = allowed share of the distance):
-  A. One class, less some short tokens, is a subset of the other. Every subset of a short token
-     set is a key, and so is every class less its removable tokens; equal keys meet. For long
-     token sets the rarest tokens of the one meet any token of the other.
+  A. One class, less some short tokens, is a subset of the other. As many of its rarest tokens
+     as may be missing, and one more, meet the tokens of the other: one of them is there.
   B. The texts differ by d <= k = floor(2t/(1-t) n) inserted or deleted characters (or blanks).
      One deletion on either side, at most: the token sets after one deletion are keys; this finds
      d = 1, and d = 2 but for two deletions on the same side.
@@ -22,16 +21,12 @@ third of all records, and their pairs too many to store. `first_match` is the ea
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfproof.functions import similarity
 from shelfproof.session import cut_lineage
 
-MAX_SUBSET_TOKENS = 8      # up to this many tokens all subsets become keys
-MAX_REMOVABLE = 10         # up to this many short tokens all removals become keys
-
 
 def _hash40(item: Column) -> Column:
     """Of a token or character. Forty bits, so that sums of up to 2^23 of them fit a long."""
@@ -66,26 +61,6 @@ def _allowed(column: str, threshold: int) -> Column:
     return F.floor(F.col(column) * (2 * (100 - threshold)) / F.lit(threshold)).cast("int")
 
 
-def _subset_sums(hashes: Column) -> Column:
-    """Sums over all subsets of an array of hashes."""
-    return F.aggregate(hashes, F.array(F.lit(0).cast("long")),
-                       lambda sums, h: F.concat(sums, F.transform(sums, lambda x: x + h)))
-
-
-def _removal_sums(short: Column, budget: Column) -> Column:
-    """Sums over the sets of short tokens whose joined length fits the budget."""
-    kind = "array<struct<sum:bigint,len:int>>"
-    start = F.array(F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("len"))).cast(kind)
-
-    def grow(sets: Column, token: Column) -> Column:
-        grown = F.transform(sets, lambda x: F.struct(
-            (x["sum"] + _hash40(token)).alias("sum"),
-            (x["len"] + 1 + F.length(token)).alias("len")))
-        return F.concat(sets, F.filter(grown, lambda x: x["len"] <= budget)).cast(kind)
-
-    return F.transform(F.aggregate(short, start, grow), lambda x: x["sum"])
-
-
 KEY_COLUMNS = ["category", "class", "space", "deleted", "slack", "key"]
 
 
@@ -99,21 +74,6 @@ def _plain(keys: DataFrame, space: int) -> DataFrame:
                .select(KEY_COLUMNS)
 
 
-def _subset_keys(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Path A for token sets of up to MAX_SUBSET_TOKENS: keys of class a and of class b."""
-    # A class left with more tokens than a short set has cannot be its subset.
-    fits = F.size("tokens") - F.size("short") <= MAX_SUBSET_TOKENS
-    cores = (classes.where(~F.col("many") & fits)
-             .select("category", "class", _total().alias("total"),
-                     F.explode(_removal_sums(F.col("short"), F.col("budget"))).alias("removed"))
-             .withColumn("key", F.col("total") - F.col("removed")))
-    subsets = (classes.where(F.size("tokens") <= MAX_SUBSET_TOKENS)
-               .select("category", "class",
-                       F.explode(_subset_sums(F.transform("tokens", _hash40))).alias("key"))
-               .where("key <> 0"))
-    return _plain(cores, -1), _plain(subsets, -1)
-
-
 def _with_edits(classes: DataFrame, threshold: int) -> DataFrame:
     """Add k, and k_low: a partner may be shorter by the factor T/(200-T), and the smaller k of
     a pair says where to look for it."""
@@ -176,27 +136,26 @@ def _multiset_keys(edited: DataFrame) -> DataFrame:
 
 def _keyed_candidates(classes: DataFrame, threshold: int) -> DataFrame:
     edited = _with_edits(classes, threshold)
-    cores, subsets = _subset_keys(classes)
     shorter, whole = _one_deletion_keys(edited)
     parts = _multiset_keys(edited)
-    left = cores.unionByName(shorter).unionByName(parts) \
+    left = shorter.unionByName(parts) \
         .withColumnsRenamed({"class": "a", "deleted": "deleted_a"})
-    right = subsets.unionByName(whole).unionByName(parts).drop("slack") \
+    right = whole.unionByName(parts).drop("slack") \
         .withColumnsRenamed({"class": "b", "deleted": "deleted_b"})
     # Two deletions on one side are the only way left for k = 2 to find a pair by characters.
     k_two = F.col("space").between(200000, 299999)
     asked = (F.col("deleted_a") + F.col("deleted_b")).between(F.when(k_two, 2).otherwise(0),
                                                               F.col("slack"))
-    # Spaces -1 and -2 have different keys for a and for b; in the others a pair meets twice.
-    once = F.col("space").isin(-1, -2) | (F.col("a") < F.col("b"))
+    # Space -2 has different keys for a and for b; in the others a pair meets twice.
+    once = (F.col("space") == -2) | (F.col("a") < F.col("b"))
     return (left.join(right, ["category", "space", "key"])
             .where((F.col("a") != F.col("b")) & once & asked).select("a", "b"))
 
 
 def _token_candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    """Path A where subsets are too many: one of the rarest tokens of a must be in b."""
+    """Path A: one of the rarest tokens of a, one more than may be missing, must be in b."""
     tokens = classes.select(
-        "category", "class", "many", F.size("tokens").alias("width"),
+        "category", "class",
         (F.floor(_allowed("length", threshold) / 2) + 1).alias("take"),
         F.explode("tokens").alias("token"))
     frequency = tokens.groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
@@ -204,24 +163,17 @@ def _token_candidates(classes: DataFrame, threshold: int) -> DataFrame:
     rare = (tokens.join(frequency, ["category", "token"])
             .withColumn("rank", F.row_number().over(rarest_first))
             .where(F.col("rank") <= F.col("take"))
-            .select("category", "token", "many", F.col("class").alias("a")))
-    others = tokens.select("category", "token", "width", F.col("class").alias("b"))
-    return (rare.join(others, ["category", "token"])
-            .where((F.col("width") > MAX_SUBSET_TOKENS) | F.col("many"))
-            .where("a <> b").select("a", "b"))
+            .select("category", "token", F.col("class").alias("a")))
+    others = tokens.select("category", "token", F.col("class").alias("b"))
+    return rare.join(others, ["category", "token"]).where("a <> b").select("a", "b")
 
 
 def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
     """Pairs of different classes (a < b) that reach the threshold: score and sizes."""
     if not 50 < threshold < 100:
         raise ValueError("threshold must lie between 50 and 100")
-    # Removing tokens of joined length a needs 1 + a <= allowance * s, and s < n.
-    base = (classes.withColumn("budget", _allowed("length", threshold) - 1)
-            .withColumn("short", F.filter("tokens", lambda x: F.length(x) <= F.col("budget")))
-            .withColumn("many", F.size("short") > MAX_REMOVABLE))
-    candidates = _keyed_candidates(base, threshold)
-    if not base.where(F.col("many") | (F.size("tokens") > MAX_SUBSET_TOKENS)).isEmpty():
-        candidates = candidates.unionByName(_token_candidates(base, threshold))
+    candidates = _keyed_candidates(classes, threshold) \
+        .unionByName(_token_candidates(classes, threshold))
     candidates = (candidates
                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .distinct())
@@ -279,8 +231,7 @@ def _linked(articles: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     A class with copies is linked to itself.
     """
     described = describe(articles)
-    # Read by every path below, so kept; lost blocks are computed again.
-    classes = classes_of(described).persist(StorageLevel.MEMORY_AND_DISK)
+    classes = classes_of(described)
     pairs = similar_classes(classes, threshold)
 
     def link(one: str, other: str) -> Column:

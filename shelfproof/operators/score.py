@@ -22,13 +22,9 @@ def found_keys(exceptions: DataFrame, items: DataFrame) -> DataFrame:
     unit = F.col("record_id")
     for kind, column in TRUTH_UNIT.items():
         unit = F.when(F.col("error_type") == kind, F.coalesce(column, "record_id")).otherwise(unit)
-    rows = exceptions.select("error_type", "record_id")
-    mapped = F.col("error_type").isin(list(TRUTH_UNIT))
-    # Only the types that change their unit need the join.
-    changed = rows.where(mapped).join(lookup, "record_id", "left") \
-                  .select("error_type", unit.alias("key"))
-    kept = rows.where(~mapped).select("error_type", F.col("record_id").alias("key"))
-    return changed.unionByName(kept).withColumn("error_type", truth_type(F.col("error_type")))
+    # One join for all rows: the worklist is then evaluated once.
+    return exceptions.select("error_type", "record_id").join(lookup, "record_id", "left") \
+        .select(truth_type(F.col("error_type")).alias("error_type"), unit.alias("key"))
 
 
 def compare(found: DataFrame, truth: DataFrame) -> DataFrame:

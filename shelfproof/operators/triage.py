@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfproof.schema import SEVERITY_ORDER, TRUTH_ALIAS, rule_dimension, severity_dimension
@@ -74,12 +74,16 @@ def worst_groups(exceptions: DataFrame, top: int = 10) -> DataFrame:
 def filtered(exceptions: DataFrame, severities: Sequence[str] = tuple(SEVERITY_ORDER),
              checks: Sequence[str] = (), groups: Sequence[str] = ()) -> DataFrame:
     """Rows of these severities; of these checks and store groups, unless none are named."""
-    view = labelled(exceptions).where(F.col("severity").isin(list(severities)))
+    return labelled(exceptions).where(_chosen(severities, checks, groups))
+
+
+def _chosen(severities: Sequence[str], checks: Sequence[str], groups: Sequence[str]) -> Column:
+    out = F.col("severity").isin(list(severities))
     if checks:
-        view = view.where(F.col("check").isin(list(checks)))
+        out = out & F.col("check").isin(list(checks))
     if groups:
-        view = view.where(F.col("store_group").isin(list(groups)))
-    return view
+        out = out & F.col("store_group").isin(list(groups))
+    return out
 
 
 def in_order(view: DataFrame) -> DataFrame:
@@ -88,6 +92,7 @@ def in_order(view: DataFrame) -> DataFrame:
     return view.join(ranks, "severity").orderBy("severity_rank", "check", "record_id")
 
 
+# Columns of the worklist view, in order.
 WORKLIST_COLUMNS = ["severity", "check", "table_name", "record_id", "store_group",
                     "downstream_impact", "description"]
 
@@ -96,11 +101,11 @@ def worklist_view(view: DataFrame) -> DataFrame:
     return view.select(WORKLIST_COLUMNS)
 
 
-def shown_of_total(view: DataFrame, exceptions: DataFrame) -> DataFrame:
-    shown = view.select(F.lit(1).alias("shown"))
-    total = exceptions.select(F.lit(0).alias("shown"))
-    return shown.unionByName(total).agg(F.count_if(F.col("shown") == 1).alias("shown"),
-                                        F.count_if(F.col("shown") == 0).alias("total"))
+def shown_of_total(exceptions: DataFrame, severities: Sequence[str] = tuple(SEVERITY_ORDER),
+                   checks: Sequence[str] = (), groups: Sequence[str] = ()) -> DataFrame:
+    """How many rows `filtered` shows, of how many."""
+    return labelled(exceptions).agg(F.count_if(_chosen(severities, checks, groups)).alias("shown"),
+                                    F.count(F.lit(1)).alias("total"))
 
 
 def scorecard_view(card: DataFrame) -> DataFrame:
@@ -114,11 +119,12 @@ def scorecard_view(card: DataFrame) -> DataFrame:
 
 def filter_options(exceptions: DataFrame) -> DataFrame:
     """Distinct checks and store groups as (filter, option), sorted."""
-    checks = labelled(exceptions.select("error_type").distinct()) \
-        .select(F.lit("check").alias("filter"), F.col("check").alias("option")).distinct()
-    groups = exceptions.where(F.col("store_group").isNotNull()).select(
-        F.lit("store_group").alias("filter"), F.col("store_group").alias("option")).distinct()
-    return checks.unionByName(groups).orderBy("filter", "option")
+    def option(name: str) -> Column:
+        return F.struct(F.lit(name).alias("filter"), F.col(name).alias("option"))
+
+    return (labelled(exceptions.groupBy("error_type", "store_group").agg(F.count(F.lit(1)).alias("n")))
+            .select(F.inline(F.array(option("check"), option("store_group"))))
+            .where(F.col("option").isNotNull()).distinct().orderBy("filter", "option"))
 
 
 def bar_widths(counts: DataFrame, count: str = "n") -> DataFrame:

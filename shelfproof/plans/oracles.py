@@ -35,6 +35,7 @@ def _adapter(clean: bool) -> str:
     uom = _UOM.format(k="p_partkey", null=no if clean else "p_partkey % 41 = 5 THEN NULL")
     tax_null = no if clean else "p_partkey % 43 = 6 THEN NULL"
     spoil = "FALSE" if clean else "p_partkey % 20 = 7"
+    code = " || ' ' || substr(md5(p_partkey::VARCHAR), 1, 16)" if clean else ""
     status_extra = "" if clean else (
         "WHEN o % 23 = 1 THEN NULL WHEN o % 29 = 2 THEN 'cancelled' WHEN o % 31 = 3 THEN 'live' ")
     parent = "'ART' || lpad((p_partkey - p_partkey % 10)::VARCHAR, 8, '0')"
@@ -62,7 +63,7 @@ article_master AS MATERIALIZED (
         substr(body, i::INT, 1)::INT * (CASE WHEN i % 2 = 1 THEN 1 ELSE 3 END))) % 10) % 10 AS c
     FROM (
       SELECT p_partkey, {_pad('ART', 'p_partkey', 8)} AS article_id,
-        p_name || ' ' || p_type || ' ' || p_size AS article_description,
+        p_name || ' ' || p_type || ' ' || p_size{code} AS article_description,
         CASE WHEN p_partkey % 10 = 0 THEN 'generic' WHEN p_partkey % 10 IN (1, 2) THEN 'variant'
              WHEN p_partkey % 10 = 3 THEN 'prepack' WHEN p_partkey % 10 = 4 THEN 'display'
              ELSE 'single' END AS article_type,
@@ -97,15 +98,13 @@ promotion_header AS MATERIALIZED (
         o_orderdate::DATE + ((3 - (isodow(o_orderdate::DATE) - 1) + 7) % 7)::INT AS header_start
       FROM orders JOIN customer ON o_custkey = c_custkey))),
 lines AS MATERIALIZED (
-  SELECT l.l_orderkey AS o, l.l_linenumber AS n, l.l_partkey AS k,
+  SELECT l.l_orderkey AS o, l.l_linenumber AS n, l.l_partkey AS k, l.l_suppkey AS sk,
     l.l_orderkey + l.l_linenumber AS s, p.p_type, p.p_retailprice,
     h.promo_id, h.header_start, h.header_end, h.store_group
-  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-          ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) l
-  JOIN part p ON p.p_partkey = l.l_partkey JOIN promotion_header h ON h.o = l.l_orderkey
-  WHERE rn = 1),
+  FROM lineitem l
+  JOIN part p ON p.p_partkey = l.l_partkey JOIN promotion_header h ON h.o = l.l_orderkey),
 promotion_item AS MATERIALIZED (
-  SELECT printf('PIT%08d', o) || '_' || n AS promo_item_id, promo_id, {article} AS article_id,
+  SELECT printf('PIT%08d', o) || '_' || n || '_' || k || '_' || sk AS promo_item_id, promo_id, {article} AS article_id,
     mechanic,
     CASE WHEN mechanic IN ('fixed_price', 'multibuy') THEN p_retailprice * ({factor}) END
       AS promo_price,
@@ -331,7 +330,8 @@ s04 AS MATERIALIZED (SELECT t.*,
   FROM {_sample('promotion_item', 'promo_item_id', 0.06, 'header_item_date_mismatch')} t
   JOIN promotion_header h USING (promo_id)),
 s05 AS MATERIALIZED (SELECT * FROM {_sample(
-    "(SELECT * FROM promotion_header WHERE approval_status IN ('live', 'approved'))",
+    "(SELECT * FROM promotion_header WHERE approval_status IN ('live', 'approved') AND promo_id IN "
+    f"(SELECT promo_id FROM promotion_item WHERE item_end >= {TODAY}))",
     'promo_id', 0.25, 'orphaned_cancelled_header')}),
 s06 AS MATERIALIZED (SELECT t.*, a.base_uom AS old,
     CASE WHEN {_draw('uom_pack_mismatch', 't.article_id')} % 2 = 0 THEN 'CTN' ELSE 'PACK' END AS new_uom
@@ -371,7 +371,7 @@ s08 AS MATERIALIZED (SELECT t.*,
   JOIN article_master a USING (article_id)
   WHERE t.promo_item_id NOT IN (SELECT promo_item_id FROM s01)),
 s09 AS MATERIALIZED (SELECT *, left(barcode, 12) || ((right(barcode, 1)::INT + 1 +
-    {_draw('barcode_invalidity', 'article_id')} % 8) % 10) AS new_barcode
+    {_draw('barcode_invalidity', 'article_id')} % 9) % 10) AS new_barcode
   FROM {_sample('article_master', 'article_id', 0.05, 'barcode_invalidity')}),
 s10 AS MATERIALIZED (SELECT *, 'ARTDUP_' || article_id AS copy_id,
     [' - NEW', ' (Promo Pack)', ' V2', ''][({_draw('duplicate_near_duplicate', 'article_id')} % 4 + 1)::INT]
@@ -621,7 +621,12 @@ _GATE = """SELECT count(*) AS assertions, count(*) FILTER (status = 'FAIL') AS f
 _ART_COLS = ("article_id, article_description, article_type, parent_article_id, merch_category, sub_category, "
              "base_uom, barcode, tax_code, list_price, cost_price, tobacco_floor_price, status, "
              "discontinued_date, created_date, last_modified_date")
-_FOUR = ("article_master", "promotion_header", "promotion_item", "listing")
+_SIX = ("article_master", "promotion_header", "promotion_item", "listing", "article_site", "change_log")
+# Tables of which only rows and keys are asked here; b10 and b11 have all their columns.
+_SITE_AND_LOG = """
+article_site AS (SELECT l.article_id, l.store_group FROM listing l JOIN article_master a USING (article_id)),
+change_log AS (SELECT row_number() OVER () AS change_id
+  FROM (SELECT article_id FROM article_master UNION ALL SELECT promo_id FROM promotion_header))"""
 
 
 def _texts() -> dict[str, str]:
@@ -650,7 +655,7 @@ SELECT promo_item_id AS record_id FROM (SELECT *, CASE mechanic WHEN 'multibuy'
     out["e02_worklist"] = _with(work, "SELECT * FROM worklist")
     out["e02_worklist_by_rule"] = _with(work, "SELECT * FROM flat")
     out["e03_worklist_store_group"] = _with(
-        work, "SELECT table_name, record_id, error_type, store_group FROM worklist")
+        work, "SELECT * FROM worklist")
     out["e04_rule_facts"] = _with(work, """SELECT error_type, severity, "check", downstream_impact, count(*) AS n
 FROM worklist JOIN labels_ USING (error_type) GROUP BY ALL""")
     out["e08_totals"] = _with(work, "SELECT 12::BIGINT AS checks, count(*) AS exceptions FROM worklist")
@@ -664,8 +669,9 @@ FROM worklist JOIN labels_ USING (error_type) GROUP BY ALL""")
     out["v11_gate_summary"] = _assertions(DIRTY) + _GATE
     out["v11_gate_summary_clean"] = _assertions(CLEAN) + _GATE
     keys = {"article_master": "article_id", "promotion_header": "promo_id",
-            "promotion_item": "promo_item_id", "listing": "store_group, article_id"}
-    out["v12_key_uniqueness"] = _with(DIRTY, " UNION ALL ".join(
+            "promotion_item": "promo_item_id", "listing": "store_group, article_id",
+            "article_site": "article_id, store_group", "change_log": "change_id"}
+    out["v12_key_uniqueness"] = _with(f"{DIRTY}, {_SITE_AND_LOG}", " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k} "
         f"HAVING count(*) > 1)) AS repeated_keys" for t, k in keys.items()))
 
@@ -774,7 +780,7 @@ FROM worklist JOIN labels_ USING (error_type) GROUP BY ALL""")
     out["d08_worst_groups"] = _with(work, f"{groups} ORDER BY n DESC, store_group LIMIT 10")
     out["d09_filtered"] = _with(work, _filtered())
     out["d10_in_order"] = _with(work, f"""SELECT ({_RANK})::INT AS severity_rank, severity, "check", record_id
-FROM worklist JOIN labels_ USING (error_type) WHERE severity IN ('Medium', 'Critical')""")
+FROM worklist JOIN labels_ USING (error_type)""")
     out["d11_worklist_view"] = _with(work, """SELECT severity, "check", table_name, record_id, store_group,
   downstream_impact, description FROM worklist JOIN labels_ USING (error_type)""")
     out["d11_shown_of_total"] = _with(work, f"""SELECT (SELECT count(*) FROM ({_filtered()})) AS shown,
@@ -811,12 +817,19 @@ SELECT l_orderkey, quantity::DECIMAL(12,2)::VARCHAR AS money, round_even(quantit
   (n / 8 * 100)::DECIMAL(12,1)::VARCHAR || '%' AS percent
 FROM (SELECT l_orderkey, sum(l_quantity) AS quantity, count(*) AS n FROM lineitem GROUP BY 1)"""
 
-    counts = {t: f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _FOUR}
-    widths = {"article_master": 16, "promotion_header": 8, "promotion_item": 9, "listing": 4}
-    out["s01_table_rows"] = _with(DIRTY, " UNION ALL ".join(counts.values()))
+    six = f"{DIRTY}, {_SITE_AND_LOG}"
+    counts = {t: f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _SIX}
+    widths = {"article_master": 16, "promotion_header": 8, "promotion_item": 9, "listing": 4,
+              "article_site": 6, "change_log": 9}
+    out["s01_table_rows"] = _with(six, " UNION ALL ".join(counts.values()))
+    out["s03_csv_tables"] = _with(six, " UNION ALL ".join(counts.values()))
     out["s03_csv_round_trip"] = _with(DIRTY, f"SELECT {_ART_COLS} FROM article_master")
-    out["s04_schema_check"] = _with(DIRTY, " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, {widths[t]}::BIGINT AS columns, count(*) AS n FROM {t}" for t in _FOUR))
+    out["s04_schema_check"] = _with(six, " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {widths[t]}::BIGINT AS columns, count(*) AS n FROM {t}" for t in _SIX))
+    out["s06_scorecard_sink"] = out["r_scorecard"]
+    out["s07_truth_log_sink"] = _with(_INJECT, " UNION ALL ".join(f"SELECT * FROM ({t})" for t in _LOGS.values()))
+    out["s09_exported_view"] = out["d11_worklist_view"]
+    out["s10_missing_inputs"] = "SELECT unnest(['exceptions', 'ground_truth', 'scorecard']) AS input, TRUE AS missing"
     out["s05_worklist_sink"] = _with(work, "SELECT * FROM worklist")
     return out
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from shelfproof.operators import (
     verify,
 )
 from shelfproof.schema import TABLE_SCHEMAS, Tables
+from shelfproof.session import shared_folder
 from shelfproof.sources import adapter, tables as sources
 
 AS_OF = adapter.AS_OF
@@ -118,9 +120,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("e03_worklist_store_group")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    t = _dirty(spark, folder)
-    return rules.with_store_group(rules.run(t, AS_OF), t) \
-        .select("table_name", "record_id", "error_type", "store_group")
+    return _worklist(spark, folder)
 
 
 @query("e04_rule_facts")
@@ -165,7 +165,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("v12_key_uniqueness")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     t = _dirty(spark, folder)
-    return gate.key_uniqueness(Tables({name: t[name] for name in _STAGED}))
+    return gate.key_uniqueness(Tables({name: t[name] for name in TABLE_SCHEMAS}))
 
 
 # ---- injected defects -------------------------------------------------------------------
@@ -402,8 +402,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("d10_in_order")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    view = triage.filtered(_worklist(spark, folder), severities=("Medium", "Critical"))
-    return triage.in_order(view).select("severity_rank", "severity", "check", "record_id")
+    return triage.in_order(triage.filtered(_worklist(spark, folder))).select("severity_rank", "severity", "check", "record_id")
 
 
 @query("d11_worklist_view")
@@ -413,8 +412,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("d11_shown_of_total")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    exceptions = _worklist(spark, folder)
-    return triage.shown_of_total(triage.filtered(exceptions, **FILTER), exceptions)
+    return triage.shown_of_total(_worklist(spark, folder), **FILTER)
 
 
 @query("d12_scorecard_view")
@@ -491,22 +489,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("s01_table_rows")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per table after a round trip through declared-type Parquet files."""
-    staged = sources.stage(_dirty(spark, folder), _STAGED)
-    out = None
-    for name in _STAGED:
-        one = staged[name].agg(F.count(F.lit(1)).alias("n")) \
-                          .select(F.lit(name).alias("table_name"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return _row_counts(sources.stage(_dirty(spark, folder), TABLE_SCHEMAS))
+
+
+def _row_counts(tables: Tables) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        for name, df in tables.items()])
+
+
+def _new_folder(spark: SparkSession, kind: str) -> str:
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query("s03_csv_tables")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per table after a round trip through CSV files with declared types."""
+    path = _new_folder(spark, "csv")
+    t = _dirty(spark, folder)
+    sources.write_tables(Tables({name: t[name] for name in TABLE_SCHEMAS}), path, "csv")
+    return _row_counts(sources.read_tables(spark, path, "csv"))
 
 
 @query("s03_csv_round_trip")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Articles written as CSV and read back with declared types; barcodes stay text."""
-    from shelfproof.session import shared_folder
-    import uuid
-
-    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    path = _new_folder(spark, "csv")
     articles = _dirty(spark, folder)["article_master"]
     sources.write_tables(Tables({"article_master": articles}), path, "csv")
     return sources.read_table(spark, path, "article_master", "csv")
@@ -517,7 +525,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per table whose columns match the declared names and types."""
     t = _dirty(spark, folder)
     out = None
-    for name in _STAGED:
+    for name in TABLE_SCHEMAS:
         sources.check_columns(t[name], name, types=True)
         width = F.lit(len(TABLE_SCHEMAS[name])).cast("long")
         one = t[name].agg(F.count(F.lit(1)).alias("n")).select(
@@ -529,9 +537,46 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("s05_worklist_sink")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Worklist written partitioned by error type, read back."""
-    from shelfproof.session import shared_folder
-    import uuid
-
-    path = f"{shared_folder(spark)}/out-{uuid.uuid4().hex}"
+    path = _new_folder(spark, "out")
     sources.write_output(_worklist(spark, folder), path, "exceptions", partition_by="error_type")
     return sources.read_output(spark, path, "exceptions")
+
+
+@query("s06_scorecard_sink")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Scorecard written and read back."""
+    path = _new_folder(spark, "out")
+    sources.write_output(_scorecard(spark, folder), path, "scorecard")
+    return sources.read_output(spark, path, "scorecard")
+
+
+@query("s07_truth_log_sink")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The corrupted tables and the truth log written; the log read back."""
+    path = _new_folder(spark, "out")
+    dirty, log = _corrupted(spark, folder)
+    sources.write_tables(Tables({name: dirty[name] for name in TABLE_SCHEMAS}), path)
+    sources.write_output(log, path, "ground_truth")
+    return sources.read_output(spark, path, "ground_truth")
+
+
+@query("s09_exported_view")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The worklist view exported as CSV, read back."""
+    path = _new_folder(spark, "view")
+    view = triage.worklist_view(triage.filtered(_worklist(spark, folder)))
+    sources.export_view(view, path)
+    return spark.read.schema(view.schema).option("header", True).csv(path)
+
+
+@query("s10_missing_inputs")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Outputs that no run has written into the folder of the tables are named as missing."""
+    def missing(name: str) -> bool:
+        try:
+            sources.read_output(spark, folder, name)
+        except sources.MissingInput:
+            return True
+        return False
+    return spark.createDataFrame([(n, missing(n)) for n in sources.OUTPUT_SCHEMAS],
+                                 "input string, missing boolean")

@@ -2,7 +2,8 @@
 
 Two variants: with defects, and clean. The clean one holds what a valid baseline needs: no
 null codes, right check digits, only active and promotable articles on promotions, prices
-above cost, item dates inside the header's, status that follows from the dates.
+above cost, item dates inside the header's, status that follows from the dates, descriptions
+that differ.
 """
 
 from __future__ import annotations
@@ -53,10 +54,12 @@ def article_master(part: DataFrame, clean: bool = False) -> DataFrame:
     tobacco = F.col("p_type") == "ECONOMY"
     parent = F.when((k % 10).isin(1, 2), text.padded("ART", k - k % 10, 8))
     created = F.date_add(F.lit(date(1992, 1, 1)), (k % 1000).cast("int"))
+    words = ["p_name", "p_type", F.col("p_size").cast("string")]
+    if clean:  # a code that tells descriptions apart
+        words.append(F.substring(F.md5(k.cast("string").cast("binary")), 1, 16))
     out = part.select(
         text.padded("ART", k, 8).alias("article_id"),
-        F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string"))
-        .alias("article_description"),
+        F.concat_ws(" ", *words).alias("article_description"),
         F.when(k % 10 == 0, "generic").when((k % 10).isin(1, 2), "variant")
         .when(k % 10 == 3, "prepack").when(k % 10 == 4, "display").otherwise("single")
         .alias("article_type"),
@@ -105,12 +108,9 @@ def promotion_header(orders: DataFrame, customer: DataFrame, clean: bool = False
 
 
 def _lines(lineitem: DataFrame, part: DataFrame, header: DataFrame) -> DataFrame:
-    """One row per (order, line): the one with the lowest part key, with part and header.
-
-    Rows that tie on the part key are told apart by columns the derivation does not use.
-    """
-    lines = (lineitem.groupBy("l_orderkey", "l_linenumber")
-             .agg(F.min("l_partkey").alias("p_partkey"))
+    """Every line with its part and header."""
+    lines = (lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"),
+                             "l_suppkey")
              .withColumn("promo_id", text.padded("PRM", F.col("l_orderkey"), 8)))
     return (lines
             .join(part.select("p_partkey", "p_type", "p_retailprice"), "p_partkey")
@@ -136,7 +136,7 @@ def promotion_item(lines: DataFrame, clean: bool = False) -> DataFrame:
         end = F.when((o * 7 + n) % 17 == 0, F.date_add(end, n + 2)).otherwise(end)
     priced = F.col("mechanic").isin("fixed_price", "multibuy")
     out = lines.withColumn("mechanic", mechanic).select(
-        F.concat(text.padded("PIT", o, 8), F.lit("_"), n.cast("string")).alias("promo_item_id"),
+        F.concat_ws("_", text.padded("PIT", o, 8), n, k, "l_suppkey").alias("promo_item_id"),
         "promo_id",
         article.alias("article_id"),
         "mechanic",
