@@ -98,13 +98,13 @@ promotion_header AS MATERIALIZED (
         o_orderdate::DATE + ((3 - (isodow(o_orderdate::DATE) - 1) + 7) % 7)::INT AS header_start
       FROM orders JOIN customer ON o_custkey = c_custkey))),
 lines AS MATERIALIZED (
-  SELECT l.l_orderkey AS o, l.l_linenumber AS n, l.l_partkey AS k, l.l_suppkey AS sk,
+  SELECT l.l_orderkey AS o, l.l_linenumber AS n, l.l_partkey AS k, l.l_suppkey AS sk, l.l_quantity::BIGINT AS qty,
     l.l_orderkey + l.l_linenumber AS s, p.p_type, p.p_retailprice,
     h.promo_id, h.header_start, h.header_end, h.store_group
   FROM lineitem l
   JOIN part p ON p.p_partkey = l.l_partkey JOIN promotion_header h ON h.o = l.l_orderkey),
 promotion_item AS MATERIALIZED (
-  SELECT printf('PIT%08d', o) || '_' || n || '_' || k || '_' || sk AS promo_item_id, promo_id, {article} AS article_id,
+  SELECT printf('PIT%08d', o) || '_' || n || '_' || k || '_' || sk || '_' || qty AS promo_item_id, promo_id, {article} AS article_id,
     mechanic,
     CASE WHEN mechanic IN ('fixed_price', 'multibuy') THEN p_retailprice * ({factor}) END
       AS promo_price,

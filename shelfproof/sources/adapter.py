@@ -110,7 +110,7 @@ def promotion_header(orders: DataFrame, customer: DataFrame, clean: bool = False
 def _lines(lineitem: DataFrame, part: DataFrame, header: DataFrame) -> DataFrame:
     """Every line with its part and header."""
     lines = (lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"),
-                             "l_suppkey")
+                             "l_suppkey", F.col("l_quantity").cast("long").alias("quantity"))
              .withColumn("promo_id", text.padded("PRM", F.col("l_orderkey"), 8)))
     return (lines
             .join(part.select("p_partkey", "p_type", "p_retailprice"), "p_partkey")
@@ -136,7 +136,7 @@ def promotion_item(lines: DataFrame, clean: bool = False) -> DataFrame:
         end = F.when((o * 7 + n) % 17 == 0, F.date_add(end, n + 2)).otherwise(end)
     priced = F.col("mechanic").isin("fixed_price", "multibuy")
     out = lines.withColumn("mechanic", mechanic).select(
-        F.concat_ws("_", text.padded("PIT", o, 8), n, k, "l_suppkey").alias("promo_item_id"),
+        F.concat_ws("_", text.padded("PIT", o, 8), n, k, "l_suppkey", "quantity").alias("promo_item_id"),
         "promo_id",
         article.alias("article_id"),
         "mechanic",
