@@ -79,30 +79,52 @@ def unpack(payload: bytes) -> np.ndarray:
 
 # ---- text to ids -----------------------------------------------------------------------
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
-_SOLID = np.zeros(256, bool)
-_SOLID[0x21:0x7F] = True
-_SOLID[0xC3:0xF8] = True
-_SOLID[[0xE1, 0xE2, 0xE3]] = False  # some of their characters are white space
+def _bytes_in(*spans: tuple[int, int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for low, high in spans:
+        table[low:high + 1] = True
+    return table
+
+
+_SPACE = _bytes_in((0x09, 0x0D), (0x20, 0x20))
+#: Bytes that begin a character which is surely no white space.
+_SOLID = _bytes_in((0x21, 0x7E), (0xC3, 0xDF), (0xE4, 0xF7))
+_LETTER = _bytes_in((0x41, 0x5A), (0x61, 0x7A))
+_MARK = _bytes_in((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where texts may be cut without changing their byte-level BPE ids.
 
     The library cuts a text into words before it merges bytes: white space before a word goes to
-    words of its own, but for a last space, which goes to the word. So a text may be cut before
-    the last white-space character in front of a word and, if that is no space, after it.
+    words of its own, but for a last space, which goes to the word; letters and marks are in
+    different words. So a text may be cut before the last white-space character in front of a
+    word and, if that is no space, after it, and between an ASCII letter and an ASCII mark (but
+    for the apostrophe, which may belong to the letters after it).
     """
     cut = np.zeros(len(data) + 1, bool)
-    turn = np.flatnonzero(_SPACE[data[:-1]] & _SOLID[data[1:]]) + 1 if len(data) else []
-    turn = np.asarray(turn, np.int64)
-    cut[turn - 1] = True
-    cut[turn[data[turn - 1] != 0x20]] = True
+    if len(data):
+        left, right = data[:-1], data[1:]
+        letter = _LETTER[data]
+        accented = np.zeros(len(data), bool)  # the second byte of a letter like those of Latin-1
+        accented[1:] = (left == 0xC3) & (right != 0x97) & (right != 0xB7)
+        mark = _MARK[data]
+        cut[1:-1] = ((letter[:-1] | accented[:-1]) & mark[1:]) | (mark[:-1] & letter[1:])
+        turn = np.flatnonzero(_SPACE[left] & _SOLID[right]) + 1
+        cut[turn - 1] = True
+        cut[turn[data[turn - 1] != 0x20]] = True
     cut[offsets] = True
     return np.flatnonzero(cut)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: their own where these are
+    visible in Latin-1, else those from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Byte-level BPE ids by the library, each distinct piece encoded once while it is held."""
 
@@ -111,12 +133,30 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = str.maketrans(_byte_letters())
         self._clear()
 
     def _clear(self) -> None:
         self.slots: dict[bytes, int] = {}
         self.flat, self.begins = array("I"), array("q", [0])
 
+    def _encode(self, values: list[bytes]) -> list[list[int]]:
+        """Pieces of one word go straight to the library's model, others the whole way."""
+        out: list[list[int]] = [[]] * len(values)
+        rest, merge = [], self.tokenizer.model.tokenize
+        for i, value in enumerate(values):
+            text = value.decode()
+            if (text[1:] if text[0] == " " else text).isalpha():
+                out[i] = [t.id for t in merge(value.decode("latin-1").translate(self.letters))]
+            else:
+                rest.append((i, text))
+        for low in range(0, len(rest), 10_000):
+            part = rest[low:low + 10_000]
+            coded = self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
+            for (i, _), one in zip(part, coded):
+                out[i] = one.ids
+        return out
+
     def __call__(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each closed by `end`, and the number of ids of each."""
         if len(self.slots) > self.HELD:
@@ -129,17 +169,13 @@ class Encoder:
         ).dictionary_encode()
         values = coded.dictionary.to_pylist()
         slot = np.fromiter((self.slots.get(v, -1) for v in values), np.int64, len(values))
-        missing = np.flatnonzero(slot < 0)
-        for low in range(0, len(missing), 20_000):
-            part = missing[low:low + 20_000]
-            encoded = self.tokenizer.encode_batch_fast(
-                [values[i].decode() for i in part], add_special_tokens=False)
-            for i, one in zip(part.tolist(), encoded):
-                slot[i] = len(self.begins) - 1
-                self.flat.extend(one.ids)
-                self.begins.append(len(self.flat))
-                if len(values[i]) <= self.LONGEST:
-                    self.slots[values[i]] = int(slot[i])
+        missing = [i for i in np.flatnonzero(slot < 0).tolist()]
+        for i, ids in zip(missing, self._encode([values[i] for i in missing])):
+            slot[i] = len(self.begins) - 1
+            self.flat.extend(ids)
+            self.begins.append(len(self.flat))
+            if len(values[i]) <= self.LONGEST:
+                self.slots[values[i]] = int(slot[i])
         flat = np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.zeros(0, np.uint32)
         begins = np.frombuffer(self.begins, np.int64)
         used = slot[coded.indices.to_numpy()]
