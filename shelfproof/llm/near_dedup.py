@@ -9,10 +9,11 @@
 3. A pair of nodes from a list is dropped if the sketch of the union of both (the k smallest
    values of the two sketches) says that it is not similar; chance drops less than one similar
    pair in 10^9. The others are confirmed on the full shingle sets.
-4. Links give components. Two rounds compare the nodes of a list with one of them only, which
-   joins groups of copies at a cost that grows with their size; a last one compares all pairs of
-   a list that are still in different components. So every link between components is found,
-   and no group of copies is expanded into its pairs.
+4. Links give components. Some rounds compare the nodes of a list with heads drawn from it, which
+   joins groups of copies at a cost that grows with their size; a last one looks for links
+   between nodes of a list that are still in different components, by the rarest values of
+   their whole sets, and confirms them. So every link between components is found, and no
+   group of copies is expanded into its pairs.
 
 Null or empty texts have no shingle and are linked with nothing. Rows that repeat a doc_id are
 rows like others; rows without one take part, but give no component its name. A text with fewer
@@ -22,7 +23,7 @@ words than a shingle is one shingle.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,10 @@ from shelfproof.llm.graph import components, staged
 from shelfproof.llm.words import blocks, shingle_sets
 
 KEEP = 64
-ROUNDS = 2
+#: Rounds with heads; draws of heads per round; heads that a node is confirmed with per round.
+ROUNDS, EARLY_ROUNDS, DRAWS, TRIED = 1, 2, 4, 4
+#: Words of 64 bits in the bitmap of a set.
+BITMAP = 8
 
 
 def overlap(keep: int, percent: int, miss: float = 1e-9) -> int:
@@ -87,6 +91,24 @@ def _setter(size: int):
     return sets
 
 
+def _lister(size: int):
+    schema = pa.schema([("node", pa.int64()), ("runs", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+
+    def bits(runs: np.ndarray) -> np.ndarray:
+        """For each of 64 * BITMAP places, whether an odd number of values falls there."""
+        odd = np.bincount((runs % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+        return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            runs = [r for r in shingle_sets(block.column("text"), size) if len(r)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_node(r) for r in runs], pa.int64()),
+                 pa.array([r.view(np.int64) for r in runs], pa.list_(pa.int64())),
+                 pa.array([bits(r) for r in runs], pa.list_(pa.int64()))], schema=schema)
+    return lists
+
+
 def _confirmer(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,6 +122,13 @@ def _confirmer(percent: int):
     return confirm
 
 
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """(a, b): the few pairs of each a that are most alike."""
+    alike = F.sort_array(F.collect_list(F.struct("like", "b")), asc=False)
+    return pairs.groupBy("a").agg(F.slice(alike, 1, TRIED).alias("heads")) \
+        .select("a", F.explode("heads").alias("h")).select("a", F.col("h.b").alias("b"))
+
+
 class Finder:
     """Links between the nodes of one table of documents."""
 
@@ -136,34 +165,87 @@ class Finder:
         """Sizes between which a similar pair can lie."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def _placed(self) -> DataFrame:
-        """The lists with each node's present component."""
+    def _placed(self, lists: DataFrame) -> DataFrame:
+        """Lists with each node's present component, those with several components only."""
         if self.links is None:
-            return self.lists.withColumn("at", F.col("node"))
-        return self.lists.join(self.parts, "node", "left") \
-            .select("value", "node", "n", F.coalesce("component", "node").alias("at"))
+            placed = lists.withColumn("at", F.col("node"))
+        else:
+            placed = lists.join(self.parts, "node", "left") \
+                .select(*lists.columns, F.coalesce("component", "node").alias("at"))
+        open_ = placed.groupBy("value").agg(F.min("at").alias("low"), F.max("at").alias("high")) \
+            .filter("low != high").select("value")
+        return placed.join(open_, "value")
 
     def _with_heads(self, turn: int) -> DataFrame:
-        """Pairs of a node and the head of a list that it is in."""
-        placed = self._placed()
-        heads = placed.groupBy("value").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "at")).alias("head"),
-            F.min("at").alias("low"), F.max("at").alias("high")).filter("low != high")
-        return placed.join(heads, "value").filter(
+        """Pairs of a node and a head, drawn from the components, of a list that it is in."""
+        placed = self._placed(self.lists)
+        draw = F.xxhash64("at", F.lit(turn), F.pmod("value", F.lit(DRAWS)))
+        head = F.struct(draw.alias("h"), "node", "n", "at")
+        heads = placed.groupBy("value").agg(F.array(F.min(head), F.max(head)).alias("heads"))
+        return placed.join(heads, "value").withColumn("head", F.explode("heads")).filter(
             (F.col("at") != F.col("head.at")) & self._possible(F.col("n"), F.col("head.n"))) \
             .select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
 
-    def _across(self) -> DataFrame:
-        """All pairs of a list's nodes in different components."""
-        placed = self._placed()
-        open_ = placed.groupBy("value").agg(F.min("at").alias("low"), F.max("at").alias("high")) \
-            .filter("low != high").select("value")
-        left = placed.join(open_, "value")
-        right = left.select("value", F.col("node").alias("b"), F.col("n").alias("m"),
-                            F.col("at").alias("bt"))
-        return left.join(right, "value").filter(
-            (F.col("at") < F.col("bt")) & self._possible(F.col("n"), F.col("m"))) \
-            .select(F.col("node").alias("a"), "b").distinct()
+    def _early(self) -> DataFrame:
+        """(value, node, n, bits, rest): the rarest values of whole sets, for nodes still in question.
+
+        These are the nodes of a list of sketch values with several components. Their sets are
+        ordered from the rarest value to the most common one; rest counts the values from one
+        on. A similar pair has its first common value so early in both that enough values
+        follow. So a copy with many edits of its own, which make rare values, meets no other
+        copy, however large its group is.
+        """
+        asked = staged(self._placed(self.lists).select("node", "n").distinct())
+        values = self._texts(asked).mapInArrow(
+            _lister(self.size), "node long, runs array<long>, bits array<long>") \
+            .join(asked, "node").select("node", "n", "bits", F.explode("runs").alias("value"))
+        often = values.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1")
+        alone = F.col("n") - F.size("rare")
+        used = (F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - alone).cast("int")
+        return values.join(often, "value").groupBy("node", "n") \
+            .agg(F.sort_array(F.collect_set(F.struct("often", "value"))).alias("rare"),
+                 F.first("bits").alias("bits")) \
+            .withColumn("alone", alone).withColumn("used", used).filter("used > 0") \
+            .select("node", "n", "bits", "alone", F.posexplode(F.slice("rare", 1, F.col("used")))) \
+            .select(F.col("col.value").alias("value"), "node", "n", "bits",
+                    (F.col("n") - F.col("alone") - F.col("pos")).alias("rest"))
+
+    def _enough(self, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        """Whether two sets can be similar: by their sizes, by the values from the first common
+        one on, and by the places where their bitmaps differ, each a value of one set alone."""
+        n, m = x("n"), y("n")
+        differ = sum(F.bit_count(x("bits")[i].bitwiseXOR(y("bits")[i])) for i in range(BITMAP))
+        return self._possible(n, m) \
+            & (F.least(x("rest"), y("rest")) * (100 + self.percent) >= (n + m) * self.percent) \
+            & (differ * (100 + self.percent) <= (n + m) * (100 - self.percent))
+
+    def _with_early_heads(self, lists: DataFrame, turn: int) -> DataFrame:
+        """Pairs of a node and a head as above, the likeliest few of each node."""
+        placed = self._placed(lists)
+        draw = F.xxhash64("at", F.lit(turn), F.pmod("value", F.lit(DRAWS)))
+        head = F.struct(draw.alias("h"), F.xxhash64("node", "value").alias("i"),
+                        "node", "n", "at", "rest", "bits")
+        heads = placed.groupBy("value").agg(F.array(F.min(head), F.max(head)).alias("heads"))
+        pairs = placed.join(heads, "value").withColumn("head", F.explode("heads")).filter(
+            (F.col("at") != F.col("head.at"))
+            & self._enough(F.col, lambda name: F.col(f"head.{name}")))
+        shared = pairs.groupBy(F.col("node").alias("a"), F.col("head.node").alias("b")) \
+            .agg(F.count("*").alias("like"))
+        return _likeliest(shared)
+
+    def _across(self, lists: DataFrame) -> DataFrame:
+        """All pairs of a list's nodes in different components that can be similar."""
+        placed = self._placed(lists)
+        return placed.alias("x").join(placed.alias("y"), "value").filter(
+            (F.col("x.at") < F.col("y.at"))
+            & self._enough(lambda name: F.col(f"x.{name}"), lambda name: F.col(f"y.{name}"))) \
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    def _texts(self, named: DataFrame) -> DataFrame:
+        """A text of each of these nodes (of others too, where ids repeat)."""
+        ids = self.nodes.join(named, "node", "left_semi").select("doc_id").distinct()
+        return self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi") \
+            .select("text")
 
     def _estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs that the sketch of their union does not rule out, with its estimate."""
@@ -181,9 +263,7 @@ class Finder:
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar."""
         named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        ids = self.signed.join(named, "node", "left_semi").select("doc_id").distinct()
-        texts = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-        sets = texts.select("text").mapInArrow(_setter(self.size), "node long, runs binary")
+        sets = self._texts(named).mapInArrow(_setter(self.size), "node long, runs binary")
         sets = staged(sets.join(named, "node", "left_semi").dropDuplicates(["node"]))
         both = pairs.select("a", "b") \
             .join(sets.select(F.col("node").alias("a"), F.col("runs").alias("x")), "a") \
@@ -198,11 +278,11 @@ class Finder:
     def run(self) -> DataFrame:
         """(node, component): all nodes that have a link."""
         for turn in range(ROUNDS):
-            likely = self._estimated(self._with_heads(turn))
-            best = likely.groupBy("a").agg(F.max(F.struct("like", "b")).alias("best")) \
-                .select("a", F.col("best.b").alias("b"))
-            self._add(self._confirmed(staged(best)))
-        self._add(self._confirmed(staged(self._estimated(self._across()))))
+            self._add(self._confirmed(staged(_likeliest(self._estimated(self._with_heads(turn))))))
+        early = staged(self._early())
+        for turn in range(EARLY_ROUNDS):
+            self._add(self._confirmed(staged(self._with_early_heads(early, turn))))
+        self._add(self._confirmed(staged(self._across(early))))
         return self.parts
 
 
