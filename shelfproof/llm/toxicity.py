@@ -286,15 +286,18 @@ class Classifier:
 
 def _train(row: np.ndarray, term: np.ndarray, labels: np.ndarray, terms: list,
            ridge: float = 0.05, turns: int = 600) -> Classifier:
-    """Logistic regression on soft labels, by gradient steps scaled per weight."""
+    """Logistic regression on soft labels, both classes weighing the same, by gradient steps
+    scaled per weight."""
     n, width = len(labels), len(terms)
     if n == 0:
         return Classifier(terms, np.zeros(width), float(np.log(BASE_RATE / (1 - BASE_RATE))))
+    pull = labels * n / (2 * max(labels.sum(), 1)), (1 - labels) * n / (2 * max((1 - labels).sum(), 1))
     w = np.zeros(width + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for turn in range(1, turns + 1):
         z = w[-1] + (np.bincount(row, w[term], n) if len(row) else 0.0)
-        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
+        score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        error = pull[1] * score - pull[0] * (1 - score)
         grad = np.append(np.bincount(term, error[row], width) + ridge * w[:-1] if len(row)
                          else ridge * w[:-1], error.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
