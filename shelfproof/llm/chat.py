@@ -47,7 +47,8 @@ def paths(messages: DataFrame) -> DataFrame:
     # ahead: where a jump of `reach` steps leads; a jump beyond the root leads nowhere.
     jumps = staged(nodes.filter("parent IS NOT NULL")
                    .select("tree", "node", F.col("parent").alias("ahead")))
-    found = staged(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
+    found = staged(leaves.select("tree", F.col("node").alias("leaf"), "node",
+                                 F.lit(0).cast("long").alias("up")))
     reach, limit = 1, nodes.count()
     while reach <= limit and not jumps.isEmpty():
         step = found.join(jumps, ["tree", "node"]) \

@@ -20,7 +20,6 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame

@@ -112,8 +112,8 @@ def mix(docs: DataFrame, table: DataFrame, blocks: int, seed: int = 0) -> DataFr
     epochs = F.sequence(F.lit(0).cast("long"), F.expr("(quota - 1) div length"))
     used = docs.join(quota, F.col("source").eqNullSafe(F.col("_source"))).drop("_source") \
         .withColumn("epoch", F.explode(epochs)) \
-        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("id").cast("string"), F.lit("")))
-                                 .cast("binary"))) \
+        .withColumn("name", F.coalesce(F.col("id").cast("string"), F.lit(""))) \
+        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "name").cast("binary"))) \
         .withColumn("bucket", F.substring("key", 1, BUCKET))
     # Length of the buckets before one, then of the documents before one in its bucket.
     sums = used.groupBy("source", "epoch", "bucket").agg(F.sum("tokens").alias("held"))

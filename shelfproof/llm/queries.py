@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfproof.llm import chat, decontaminate, fingerprint, html_text, line_dedup, mixing, near_dedup, pitman_yor, planes, toxicity
+from shelfproof.llm import (
+    chat,
+    decontaminate,
+    fingerprint,
+    html_text,
+    line_dedup,
+    mixing,
+    near_dedup,
+    pitman_yor,
+    planes,
+    toxicity,
+)
 from shelfproof.llm.graph import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,5 +113,6 @@ def op10_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_line_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor, op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
+    op1_minhash_near_dedup, op2_line_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor,
+    op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
     op10_temperature_mixing)}
