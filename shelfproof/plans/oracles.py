@@ -6,7 +6,42 @@ defects, or clean), where needed the injection, and the query itself.
 
 from __future__ import annotations
 
-from shelfproof.schema import IMPACT, LABEL, RULE_FACTS, SEVERITY, TRUTH_IMPACT, TRUTH_SEVERITY
+# Fixed values, written out here once more so that a wrong fact in the package does not pass:
+# rule, severity, label, downstream impact.
+RULE_FACTS = [
+    ("referential_integrity", "Critical", "Missing article reference",
+     "Promo fails to load; price file rejects record"),
+    ("referential_timing", "High", "Discontinued before promo",
+     "Promo advertised on an article stores can no longer order"),
+    ("listing_conflict", "High", "Not ranged in store group",
+     "Advertised deal a customer physically can't buy in that store"),
+    ("header_item_date_mismatch", "Medium", "Item outside campaign dates",
+     "Item prices live when the campaign isn't, or vice versa"),
+    ("orphaned_cancelled_header", "Critical", "Cancelled promo still live",
+     "Old promo price still charged at POS"),
+    ("uom_pack_mismatch", "Medium", "Multibuy on non-unit article",
+     "Mechanic can't be applied; POS error"),
+    ("tobacco_on_promotion", "Critical", "Tobacco on promotion",
+     "Regulatory / compliance breach: tobacco promotion is not legal in Australia"),
+    ("margin_breach", "High", "Priced below cost",
+     "Unintended loss-making sale"),
+    ("barcode_invalidity", "Critical", "Invalid barcode",
+     "Won't scan at POS; scan-and-go / self-checkout failure"),
+    ("duplicate_near_duplicate", "Low", "Duplicate article",
+     "Split sales reporting; double replenishment"),
+    ("completeness", "Low", "Missing required field",
+     "Downstream tax/finance and ordering errors"),
+    ("stale_status", "Low", "Expired but marked live",
+     "Expired promo still treated as active"),
+]
+SEVERITY = {name: severity for name, severity, _, _ in RULE_FACTS}
+LABEL = {name: label for name, _, label, _ in RULE_FACTS}
+IMPACT = {name: impact for name, _, _, impact in RULE_FACTS}
+# The truth log's name and impact of the tobacco rule.
+TRUTH_SEVERITY = {"tobacco_floor_breach": "Critical"} | {
+    name: severity for name, severity in SEVERITY.items() if name != "tobacco_on_promotion"}
+TRUTH_IMPACT = {"tobacco_floor_breach": "Regulatory / compliance breach"} | {
+    name: impact for name, impact in IMPACT.items() if name != "tobacco_on_promotion"}
 
 TODAY = "DATE '1998-07-01'"
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; in local mode a new one if none is set."""
+    """The folder named by spark.checkpoint.dir.
+
+    In local mode, where none is set, a new one that is removed when the process ends.
+    """
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder:
@@ -37,6 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="shelfproof-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 
