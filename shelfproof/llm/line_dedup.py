@@ -1,8 +1,10 @@
 """Repeated passages, found by shared lines and deleted by pairwise alignment.
 
-1. Each line is hashed (white space at its ends apart). Lines of LINE_CHARS characters or more that
-   several texts hold are the keys; a text is paired with the first holder of each of its keys,
-   so the pairs of a line grow with its holders, and every shared line has its pair.
+1. Each line is hashed (white space at its ends apart). Keys are the lines of LINE_CHARS characters
+   or more and, from each line up and down, the shortest run of adjacent lines that has BLOCK_CHARS
+   characters. A text is paired with the first holder of each key that it shares, so the pairs of
+   a key grow with its holders. Every line of a block that an earlier text has is in a run of
+   that block, so each such line is met in a text that holds a whole block around it.
    Texts that are equal form a class, which goes on as one; its later rows pair with its first.
 2. A pair is aligned by patience diff: lines that either text holds once are matched in the order
    that keeps most of them, matches are extended up and down, and the gaps between are aligned
@@ -20,23 +22,50 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfproof.llm.graph import staged
-from shelfproof.llm.words import blocks
+from shelfproof.llm.words import blocks, mix
 
 LINE_CHARS, BLOCK_CHARS = 20, 100
+_STEP = 0x9E3779B97F4A7C15
 
 
 def _hash(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - 2 ** 63
 
 
+def runs(hashes: list[int], sizes: list[int], least: int = BLOCK_CHARS) -> set[int]:
+    """Names of the shortest runs of `least` characters that begin or end at each line.
+
+    A run of one line has the line's hash; others are told by sums of powers, so that a run costs
+    the same however many lines it has.
+    """
+    n = len(sizes)
+    chars = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    if chars[-1] < least:
+        return set()
+    ends = np.searchsorted(chars, chars[:-1] + least)
+    low, high = np.arange(n)[ends <= n], ends[ends <= n]
+    up = np.flatnonzero(chars >= least)
+    low = np.concatenate([low, np.searchsorted(chars, chars[up] - least, side="right") - 1])
+    high = np.concatenate([high, up])
+    powers = np.ones((2, n), np.uint64)
+    powers[0, 1:], powers[1, 1:] = _STEP, pow(_STEP, -1, 2 ** 64)
+    powers = np.multiply.accumulate(powers, axis=1)
+    own = np.array(hashes, np.int64)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(own.view(np.uint64) * powers[0], out=sums[1:])
+    names = mix((sums[high] - sums[low]) * powers[1, low] + (high - low).astype(np.uint64))
+    return set(np.where(high - low == 1, own[low], names.view(np.int64)).tolist())
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per row: doc_id, text's name, line hashes and lengths, keys (its long lines)."""
+    """Per row: doc_id, text's name, line hashes and lengths, keys (its long lines and its runs)."""
     schema = pa.schema([("doc_id", pa.int64()), ("name", pa.int64()), ("lines", pa.list_(pa.int64())),
                         ("sizes", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))])
     for block in blocks(batches):
@@ -45,7 +74,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = [line.strip() for line in (text or "").split("\n")]
             hashes = [_hash(line.encode()) for line in lines]
             sizes = [len(line) for line in lines]
-            keys = list({h for h, n in zip(hashes, sizes) if n >= LINE_CHARS})
+            keys = list({h for h, n in zip(hashes, sizes) if n >= LINE_CHARS} | runs(hashes, sizes))
             rows.append((doc_id, _hash((text or "").encode()), hashes, sizes, keys))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)

@@ -121,6 +121,33 @@ def test_line_dedup(spark, hard, empty, texts, small):
     assert line_dedup.deduplicate(empty).count() == 0
 
 
+def test_line_dedup_meets_whole_blocks(spark):
+    """The lines of a block may each have another first holder than the block has."""
+    a, b, c = ("".join(x * 60) for x in "abc")
+    rows = [(1, f"{a}\n1"), (2, f"{b}\n2"), (3, f"{a}\n{b}"), (4, f"4\n{a}\n{b}\nfour"),
+            (5, f"{c}{c}\n5"), (6, f"{c}{c}\nend"), (7, f"{c}{c}\nend\n7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in line_dedup.deduplicate(docs).collect()}
+    assert left == {1: f"{a}\n1", 2: f"{b}\n2", 3: f"{a}\n{b}", 4: "4\nfour", 5: f"{c}{c}\n5", 6: "end", 7: "7"}
+
+
+def test_line_dedup_is_as_good_as_all_partners(spark):
+    rng = np.random.default_rng(2)
+    lines = [f"{i:03d}" + "x" * int(rng.choice([0, 5, 30, 60, 120])) for i in range(60)]
+    rows = []
+    for i in range(120):
+        picked = [lines[k] for low in sorted(rng.integers(0, 60, 3)) for k in range(low, min(low + 4, 60))]
+        rows.append((i, "\n".join(dict.fromkeys(picked))))
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        own = text.split("\n")
+        gone = set()
+        for _, other in rows[:i]:
+            gone |= set(line_dedup.repeated(own, [len(x) for x in own], other.split("\n")))
+        assert got[i] == "\n".join(x for k, x in enumerate(own) if k not in gone)
+
+
 # ---- pages ---------------------------------------------------------------------------------
 
 def test_main_text(spark):
