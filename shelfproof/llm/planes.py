@@ -19,6 +19,7 @@ it needs.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -93,7 +94,16 @@ _LETTER = _bytes_in((0x41, 0x5A), (0x61, 0x7A))
 _MARK = _bytes_in((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def added_spans(data: np.ndarray, offsets: np.ndarray, pattern: re.Pattern) -> np.ndarray:
+    """Begin and end of each place that the pattern finds within one text."""
+    spans = []
+    if pattern.search(data):
+        for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            spans += [m.span() for m in pattern.finditer(data, begin, end)]
+    return np.array(spans, np.int64).reshape(-1, 2)
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, added: re.Pattern | None = None) -> np.ndarray:
     """Where texts may be cut without changing their byte-level BPE ids.
 
     The library cuts a text into words before it merges bytes: white space before a word goes to
@@ -101,6 +111,9 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     different words. So a text may be cut before the last white-space character in front of a
     word and, if that is no space, after it, and between an ASCII letter and an ASCII mark (but
     for the apostrophe, which may belong to the letters after it).
+
+    Before all that it takes out what `added` finds, tokens with an id of their own: these are
+    pieces, and the white space before one ends a text.
     """
     cut = np.zeros(len(data) + 1, bool)
     if len(data):
@@ -113,6 +126,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         turn = np.flatnonzero(_SPACE[left] & _SOLID[right]) + 1
         cut[turn - 1] = True
         cut[turn[data[turn - 1] != 0x20]] = True
+        spans = np.zeros((0, 2), np.int64) if added is None else added_spans(data, offsets, added)
+        for begin, end in spans.tolist():
+            cut[begin + 1:end] = False
+            cut[begin - 1] &= not _SPACE[data[begin - 1]]
+        cut[spans] = True
     cut[offsets] = True
     return np.flatnonzero(cut)
 
@@ -134,6 +152,13 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = str.maketrans(_byte_letters())
+        # The library takes the longest where several begin. Texts stay whole if one of them takes
+        # in the white space around it or asks for it.
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.whole = any(t.lstrip or t.rstrip or t.single_word for t in tokens)
+        self.added = {t.content.encode() for t in tokens}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self._clear()
 
     def _clear(self) -> None:
@@ -146,7 +171,8 @@ class Encoder:
         rest, merge = [], self.tokenizer.model.tokenize
         for i, value in enumerate(values):
             text = value.decode()
-            if (text[1:] if text[0] == " " else text).isalpha():
+            if not self.whole and value not in self.added \
+                    and (text[1:] if text[0] == " " else text).isalpha():
                 out[i] = [t.id for t in merge(value.decode("latin-1").translate(self.letters))]
             else:
                 rest.append((i, text))
@@ -162,7 +188,7 @@ class Encoder:
         if len(self.slots) > self.HELD:
             self._clear()
         data, offsets = text_bytes(column)
-        cuts = pieces(data, offsets)
+        cuts = np.unique(offsets) if self.whole else pieces(data, offsets, self.pattern)
         coded = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(cuts) - 1,
             [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))],

@@ -82,6 +82,34 @@ def test_pieces_give_the_library_s_ids(texts):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|", "endoftext", "|>", "a", "é", "日", "'s", " ", "  ", "\n",
+                                          "\t", "\u3000", "9", "!", "<|endoftext", "|endoftext|>"]),
+                         max_size=12).map("".join), min_size=1, max_size=4))
+def test_added_tokens_keep_their_ids(texts):
+    import public_tokenizers
+    encoder = planes._encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*texts, "a<|endoftext|>b", "a  <|endoftext|>  <|endoftext|>\n b", "<|endof", "text|>"]
+    ids, counts = encoder(pa.array(texts, pa.string()), 2)
+    want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert [64, 50256, 65, 2] in want
+
+
+@pytest.mark.parametrize("odd", [{}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}])
+def test_other_added_tokens(odd, tmp_path):
+    import public_tokenizers
+    from tokenizers import AddedToken, Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.add_tokens([AddedToken("PAD", normalized=False, **odd), AddedToken("PADDED", normalized=False)])
+    tokenizer.save(str(tmp_path / "t.json"))
+    texts = ["PAD", "a PAD b", "aPADb  PADDED  PADPADDEDx", "", "<|endoftext|>", None, " PAD", "  "]
+    ids, counts = planes.Encoder(str(tmp_path / "t.json"))(pa.array(texts, pa.string()), 2)
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_sketches():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 123, 5000, dtype=np.uint8)
