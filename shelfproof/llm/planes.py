@@ -123,7 +123,9 @@ def pieces(data: np.ndarray, offsets: np.ndarray, added: re.Pattern | None = Non
         accented[1:] = (left == 0xC3) & (right != 0x97) & (right != 0xB7)
         mark = _MARK[data]
         cut[1:-1] = ((letter[:-1] | accented[:-1]) & mark[1:]) | (mark[:-1] & letter[1:])
-        turn = np.flatnonzero(_SPACE[left] & _SOLID[right]) + 1
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offsets] = True
+        turn = np.flatnonzero(_SPACE[left] & _SOLID[right] & ~begins[1:-1]) + 1
         cut[turn - 1] = True
         cut[turn[data[turn - 1] != 0x20]] = True
         spans = np.zeros((0, 2), np.int64) if added is None else added_spans(data, offsets, added)

@@ -110,6 +110,14 @@ def test_other_added_tokens(odd, tmp_path):
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_white_space_at_the_end_of_a_text_stays_whole():
+    import public_tokenizers
+    encoder = planes._encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + w * n for n in range(1, 9) for w in (" ", "\n", "\t")]
+    ids, _ = encoder(pa.array(texts, pa.string()), 2)
+    assert ids.tolist() == [i for t in texts for i in [*encoder.tokenizer.encode(t).ids, 2]]
+
+
 def test_sketches():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 123, 5000, dtype=np.uint8)
