@@ -1,6 +1,7 @@
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +197,51 @@ def test_seating_follows_the_model():
     assert abs((seats.t == 2).mean() - pull / (pull + 1 - d)) < 0.03
 
 
+def _stirling(most, d):
+    """Generalised Stirling numbers by their definition, exact fractions."""
+    row = [Fraction(0), Fraction(1)]
+    for c in range(1, most):
+        row = [Fraction(0)] + [row[t - 1] + ((c - t * d) * row[t] if t <= c else 0) for t in range(1, c + 2)]
+    return row
+
+
+@pytest.mark.parametrize("count, pull", [(2, 0.6), (9, 0.05), (9, 40.0), (60, 3.0), (60, 5000.0), (200, 0.7)])
+def test_reseating_draws_from_the_weights_of_all_seatings(count, pull):
+    d, n = Fraction(2, 5), 40_000
+    row = _stirling(count, d)
+    weight = np.array([float(row[t] / row[1] * Fraction(pull) ** t / Fraction(pull)) for t in range(1, count + 1)])
+    drawn = pitman_yor.reseated(np.full(n, count), np.full(n, pull), pitman_yor.Ratios(0.4), np.random.default_rng(1))
+    share = np.bincount(drawn - 1, minlength=count) / n
+    assert np.abs(np.cumsum(share) - np.cumsum(weight / weight.sum())).max() < 0.012
+
+
+def test_reseating_agrees_with_single_moves():
+    """Many moves of single customers tend to the drawn number of tables."""
+    rng, n, c, pull, d = np.random.default_rng(3), 3000, 40, 8.0, 0.6
+    drawn = pitman_yor.reseated(np.full(20_000, c), np.full(20_000, pull), pitman_yor.Ratios(d), rng)
+    seats, means = pitman_yor.Seats(np.full(n, c), np.full(n, pull), d, rng), []
+    for _ in range(40):
+        for _ in range(c):
+            seats.move(np.full(n, pull))
+        means.append(seats.t.mean())
+    assert abs(np.mean(means[20:]) / drawn.mean() - 1) < 0.02
+
+
+def test_reseating_mixes_counts():
+    """Dishes of all sizes in one call get what they get alone, and later turns need no luck."""
+    rng = np.random.default_rng(4)
+    customers = np.array([2, 5000, 3, 700, 2, 41] * 500)
+    pull = np.array([0.1, 30.0, 9.0, 500.0, 1e-9, 2.0] * 500)
+    ratios = pitman_yor.Ratios(0.7)
+    for turn in range(3):
+        t = pitman_yor.reseated(customers, pull * (1 + turn), ratios, rng)
+        assert (t >= 1).all() and (t <= customers).all()
+    for i in range(6):
+        alone = pitman_yor.reseated(customers[i::6], 3 * pull[i::6], pitman_yor.Ratios(0.7), rng)
+        assert abs(t[i::6].mean() - alone.mean()) < 0.02 + 0.03 * alone.mean()
+    assert len(pitman_yor.reseated(customers[:0], pull[:0], ratios, rng)) == 0
+
+
 PAGE = """<html><head><title>No</title><style>p{}</style></head><body><header>Site</header>
 <nav><a>Home</a></nav><div class="cookie-notice">Yes?</div><article><header><h1>Head  &amp; line</h1></header>
 <p>One <b>bold</b>
