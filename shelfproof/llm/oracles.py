@@ -95,3 +95,51 @@ placed AS (SELECT id, source, tokens, epoch, quota, key,
 SELECT id, source, tokens, epoch, begins, begins * 16 // quota AS block,
        md5(concat_ws(':', begins * 16 // quota, key)) AS place
 FROM placed WHERE begins < quota"""
+
+#: crc32 of UTF-8 text, from the remainders of all single bytes.
+_CRC_BYTES = """bytes AS (SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i))"""
+
+
+def _crc32(text: str) -> str:
+    byte = f"CAST('0x' || substr(hex({text}), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)"
+    listed = f"list_transform(range(strlen({text})), lambda i: {byte})"
+    return f"""xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {listed}), lambda c, b:
+        xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_BYTES},
+runs AS (SELECT doc_id, run, count(*) AS n
+         FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS run
+               FROM documents)
+         WHERE length(run) >= 6 GROUP BY ALL),
+drawn AS (SELECT run, n, {_crc32("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h
+          FROM runs, bytes),
+results AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run))
+                                              || substr(run, h % length(run) + 2)
+                        ELSE run END AS word, n FROM drawn),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM results
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+        FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+shorter AS (SELECT DISTINCT cut.word AS a, cut.n AS an, v.word AS b, v.n AS bn
+            FROM cut JOIN v ON cut.rest = v.word),
+near AS (SELECT a AS word, an AS n, b AS other, bn AS other_n FROM shorter
+         UNION ALL SELECT b, bn, a, an FROM shorter
+         UNION ALL SELECT x.word, x.n, y.word, y.n
+                   FROM cut x JOIN cut y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word),
+best AS (SELECT word, count(*) AS n_near,
+                min(struct_pack(less := -other_n, form := other)) AS best
+         FROM near GROUP BY word),
+formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+                  CASE WHEN -best.less >= 5 * v.n THEN best.form END AS form,
+                  CASE WHEN -best.less >= 5 * v.n THEN -best.less END AS form_n
+           FROM v LEFT JOIN best USING (word)),
+walk(word, tip) AS (SELECT word, word FROM v
+                   UNION ALL SELECT walk.word, formed.form
+                   FROM walk JOIN formed ON walk.tip = formed.word WHERE formed.form IS NOT NULL)
+SELECT formed.word, formed.form, walk.tip AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN walk USING (word) JOIN formed ended ON ended.word = walk.tip
+WHERE ended.form IS NULL"""

@@ -18,6 +18,7 @@ from shelfproof.llm import (
     near_dedup,
     pitman_yor,
     planes,
+    spelling,
     toxicity,
 )
 from shelfproof.llm.graph import staged
@@ -112,7 +113,13 @@ def op10_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"), blocks=16, entropy=0.9)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, some of them spoilt, with the words that they are variants of."""
+    words = spelling.vocabulary(_table(spark, folder, "documents"), 6, 5, every=199)
+    return spelling.variants(words, factor=5)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_line_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor,
     op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
-    op10_temperature_mixing)}
+    op10_temperature_mixing, op11_spelling_variants)}
