@@ -143,3 +143,43 @@ walk(word, tip) AS (SELECT word, word FROM v
 SELECT formed.word, formed.form, walk.tip AS root, formed.n, formed.n_near, formed.form_n
 FROM formed JOIN walk USING (word) JOIN formed ended ON ended.word = walk.tip
 WHERE ended.form IS NULL"""
+
+
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Rounds written out one after the other: nearest entries, then means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+    SELECT row, x.part, x.c, min(struct_pack(d := list_sum(list_transform(list_zip(x.c, b.c),
+               lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry := b.entry)) AS best
+    FROM cut x JOIN book{r} b USING (part) GROUP BY row, x.part, x.c)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} AS (SELECT part, entry, list(CAST(m AS BIGINT) ORDER BY place) AS c
+            FROM (SELECT part, best.entry AS entry, place, floor(CAST(sum(c[place]) AS DOUBLE) / count(*)) AS m
+                  FROM near{r}, places GROUP BY ALL) GROUP BY part, entry),
+book{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, b.c) AS c
+                             FROM book{r} b LEFT JOIN mean{r} m USING (part, entry))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS row, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+    SELECT row, part, c[part * (len(c) // {parts}) + 1:(part + 1) * (len(c) // {parts})] AS c
+    FROM kept, range({parts}) r(part)),
+places AS (SELECT unnest(range(1, (SELECT any_value(len(c)) FROM cut) + 1)) AS place),
+book0 AS MATERIALIZED (SELECT part, row AS entry, c FROM cut WHERE row < {entries}),{",".join(steps)},
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code,
+                 CAST(sum(best.d) AS BIGINT) AS error
+          FROM near{rounds} JOIN kept USING (row) GROUP BY row, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book{rounds})
+           AS codebooks_sha256
+FROM coded"""
+
+
+ORACLES["op12_vector_codes"] = _vector_codes()

@@ -20,6 +20,7 @@ from shelfproof.llm import (
     planes,
     spelling,
     toxicity,
+    vector_codes,
 )
 from shelfproof.llm.graph import staged
 
@@ -119,7 +120,17 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(words, factor=5)
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The code of each vector, four bytes of 256 entries each, and how far off it is."""
+    vectors = _table(spark, folder, "embeddings").select(
+        "vec_id", F.col("embedding").alias("vector"), "label")
+    codes = vector_codes.Codes(vectors, parts=4, entries=256, rounds=4)
+    return vector_codes.with_label_error(staged(codes.coded())).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_line_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor,
     op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
-    op10_temperature_mixing, op11_spelling_variants)}
+    op10_temperature_mixing, op11_spelling_variants,
+    op12_vector_codes)}

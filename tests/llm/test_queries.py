@@ -21,7 +21,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", list(oracles.ORACLES))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SMALL)
     result = con.execute(oracles.ORACLES[name])
