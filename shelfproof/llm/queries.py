@@ -19,6 +19,7 @@ from shelfproof.llm import (
     pitman_yor,
     planes,
     spelling,
+    suffix_dedup,
     toxicity,
     vector_codes,
 )
@@ -129,8 +130,17 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document less all bytes of 200-byte runs that occur elsewhere too."""
+    rows = suffix_dedup.deduplicate(_table(spark, folder, "documents"), depth=200)
+    kept = F.coalesce(F.octet_length("kept"), F.lit(0)).cast("long")
+    return rows.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - kept).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_line_dedup, op3_page_differencing, op4_toxicity, op5_pitman_yor,
     op6_reply_trees, op7_token_planes, op8_benchmark_decontamination, op9_fingerprints,
     op10_temperature_mixing, op11_spelling_variants,
-    op12_vector_codes)}
+    op12_vector_codes, op13_suffix_dedup)}
