@@ -10,7 +10,7 @@ where indel counts inserted and deleted characters between the two rests.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space as a Python string split sees it; (?U) makes \s follow Unicode.
@@ -27,26 +27,56 @@ def joined(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 
 
-def lcs_length(x: Column, y: Column) -> Column:
-    """Length of the longest common subsequence, one table row per character of x."""
-    xs, ys = F.split(x, ""), F.split(y, "")
-
-    def next_row(row: Column, cx: Column) -> Column:
-        def cell(out: Column, j: Column) -> Column:
-            left = F.element_at(out, -1)
-            value = F.when(F.get(ys, j - 1) == cx, F.get(row, j - 1) + 1) \
-                     .otherwise(F.greatest(F.get(row, j), left))
-            return F.concat(out, F.array(value))
-        return F.aggregate(F.sequence(F.lit(1), F.length(y)), F.array(F.lit(0)), cell)
-
-    start = F.array_repeat(F.lit(0), F.length(y) + 1)
-    last = F.aggregate(xs, start, next_row)
-    return F.when((F.length(x) == 0) | (F.length(y) == 0), F.lit(0)) \
-            .otherwise(F.element_at(last, -1))
-
-
-def indel(x: Column, y: Column) -> Column:
-    return F.length(x) + F.length(y) - 2 * lcs_length(x, y)
+def with_indel(df: DataFrame, x: str, y: str, most: Column, name: str) -> DataFrame:
+    """Adds the number of inserted and deleted characters between two text columns.
+
+    Null if there are more than `most`, or if that is null. The built-in distance, which counts a
+    replaced character once, is never greater, and at least half as large: it bounds the band, so
+    that texts that differ little take a time linear in their length. Characters and lengths are
+    columns of their own: a lambda would take them from the texts anew for each cell.
+    """
+    cut = df.withColumn("_most", most.cast("int")) \
+        .withColumn("_fewest", F.expr(f"levenshtein({x}, {y}, _most)")) \
+        .withColumns({"_xs": F.split(x, ""), "_ys": F.split(y, ""), "_n": F.length(x), "_m": F.length(y),
+                      "_band": F.when(F.col("_fewest") >= 0, F.least(F.col("_most"), 2 * F.col("_fewest")))})
+    return cut.withColumn(name, _indel_in_band(F.col("_band"))) \
+        .drop("_most", "_fewest", "_band", "_xs", "_ys", "_n", "_m")
+
+
+def _indel_in_band(most: Column) -> Column:
+    """The distance of the characters _xs and _ys, _n and _m of them, if it is `most` at most.
+
+    Cells of the edit table are taken by diagonals i - j from -most to most, and by steps i + j: a
+    cell depends on the two cells beside it of the step before and on its own diagonal's of two
+    steps before, so that the cells of a step do not depend on one another. One array holds the
+    last value of each diagonal; the work is (_n + _m) * (2 * most + 1). Once every diagonal is
+    beyond the bound the array is empty, and what is left costs nothing.
+    """
+    beyond = most + 1
+    xs, ys, n, m = (F.col(c) for c in ("_xs", "_ys", "_n", "_m"))
+
+    def step(row: Column, t: Column) -> Column:
+        def cell(value: Column, place: Column) -> Column:
+            twice = t + place - most  # 2 i; odd on diagonals that this step leaves alone
+            i = F.shiftright(twice, 1)
+            j = t - i
+            beside = F.least(F.get(row, place - 1), F.get(row, place + 1)) + 1
+            inside = (i >= 0) & (j >= 0) & (i <= n) & (j <= m)
+            same = (i > 0) & (j > 0) & (F.get(xs, i - 1) == F.get(ys, j - 1))
+            return F.when(F.pmod(twice, F.lit(2)) == 1, value).when(
+                inside, F.least(F.when(same, value), beside, beyond)).otherwise(beyond)
+
+        open_ = F.when(F.array_min(row) <= most, F.size(row)).otherwise(0)
+        return F.transform(F.slice(row, F.lit(1), open_), cell)
+
+    places = F.sequence(F.lit(0), 2 * most)
+    start = F.transform(places, lambda p: F.when(p == most, 0).otherwise(beyond))
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), n + m))
+    last = F.get(F.aggregate(steps, start, step), n - m + most)
+    full = F.get(F.filter(F.array(last), lambda d: d <= most), 0)  # named once: evaluated once
+    alone = n + m
+    return F.when((n == 0) | (m == 0), F.when(alone <= most, alone)) \
+            .when(F.abs(n - m) <= most, full)
 
 
 def rest_lengths(tokens_a: Column, tokens_b: Column) -> dict[str, Column]:

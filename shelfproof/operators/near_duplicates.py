@@ -6,17 +6,27 @@ and classes are compared instead of records. A group of copies, however large, i
 Which classes can be similar (n = length of the joined tokens, t = allowed share of the distance):
   A. One class, less some short tokens, is a subset of the other. As many of its rarest tokens
      as may be missing, and one more, meet the tokens of the other: one of them is there.
-  B. The texts differ by d <= k = floor(2t/(1-t) n) inserted or deleted characters (or blanks).
-     One deletion on either side, at most: the token sets after one deletion are keys; this finds
-     d = 1, and d = 2 but for two deletions on the same side.
-     Otherwise the characters differ by k at most as multisets. They are split into parts so that
-     one part differs by two at most, and the keys are the sum of the part's character hashes
-     less up to two of them. For k = 2 only two deletions on one side are left to find this way.
-Both give candidates only; each candidate is then scored, so no hash collision can do harm.
+  B. The texts differ by d <= k = floor(2t/(1-t) n) inserted or deleted characters (or blanks), n
+     being the shorter one's length. An edit changes one character of the multiset of characters
+     and three at most of the multiset of pairs of adjacent ones (blanks around tokens included;
+     the order of tokens does not matter). Dealt into more groups than edits can reach, some groups
+     are the same on both sides, and these are the keys:
+       k = 1     the token sets after one deletion (a key per character)
+       k = 2     characters in four groups, two of them the same: six keys
+       k = 3     characters in five groups, two of them the same: ten keys
+       k >= 4    adjacent pairs in 3k + 1 groups, one of them the same
+     Where many classes share a key for k = 2, such as texts with serial numbers, these classes
+     get the more exact keys of one deletion on either side, and of two characters less.
+Both give candidates only. Bitmaps of tokens and of adjacent pairs rule out most of them in the join;
+each other one is scored, so no hash collision can do harm.
 
 The result has a row per record that has earlier near-duplicates, not per pair: copies may be a
-third of all records, and their pairs too many to store. `first_match` is the earliest of them;
-`match_counts` adds `matches`, how many there are, so that its sum is the number of pairs.
+third of all records, and their pairs too many to store. `first_match` is the earliest of them.
+`flagged` looks for it alone: the classes of a key are numbered by their earliest record, every
+class is compared with the first few of each of its keys, then with more and more, until it
+has a match that no later one can precede. So a family of many classes that are all alike costs
+a comparison or two per class, not one per pair. `match_counts` adds `matches`, how many there are,
+so that its sum is the number of pairs; it needs all links between classes.
 """
 
 from __future__ import annotations
@@ -49,46 +59,76 @@ def describe(articles: DataFrame) -> DataFrame:
 
 
 def classes_of(described: DataFrame) -> DataFrame:
-    """One row per class."""
+    """One row per class: its earliest and last record, and whether any has a parent."""
     return (described.groupBy("class")
             .agg(F.any_value("merch_category").alias("category"),
-                 F.any_value("tokens").alias("tokens"), F.count(F.lit(1)).alias("members"))
+                 F.any_value("tokens").alias("tokens"), F.count(F.lit(1)).alias("members"),
+                 F.min("article_id").alias("first"), F.max("article_id").alias("last"),
+                 F.max("parent_article_id").alias("parent"))
             .withColumn("length", F.length(similarity.joined(F.col("tokens")))))
 
 
-def _allowed(column: str, threshold: int) -> Column:
+def _allowed(length: Column, threshold: int) -> Column:
     """floor(allowance * n) in integers: 2(100-T) n / T."""
-    return F.floor(F.col(column) * (2 * (100 - threshold)) / F.lit(threshold)).cast("int")
+    return F.floor(length * (2 * (100 - threshold)) / F.lit(threshold)).cast("int")
 
 
-KEY_COLUMNS = ["category", "class", "space", "deleted", "slack", "key"]
+# ---- keys ----------------------------------------------------------------------------------------
+
+#: How a class takes part in a list of classes that share a key: among its likes; or as one that
+#: meets those of the other kind: with and without a deletion, by rarest tokens and by all.
+ALIKE, LESS, WHOLE, RARE, ALL = range(5)
+#: Words of 64 bits in the bitmap of adjacent pairs.
+WORDS = 4
+#: Classes with a key for k = 2 from which on the exact keys are used instead.
+DENSE = 33
 
 
 def _total() -> Column:
     return F.aggregate("tokens", F.lit(0).cast("long"), lambda s, x: s + _hash40(x))
 
 
-def _plain(keys: DataFrame, space: int) -> DataFrame:
-    """Keys of a space in which equal keys are all that is asked."""
-    return keys.withColumns({"space": F.lit(space), "deleted": F.lit(0), "slack": F.lit(0)}) \
-               .select(KEY_COLUMNS)
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+
+
+def _with_features(classes: DataFrame, threshold: int) -> DataFrame:
+    """Add k, the bounds and bitmaps that candidates are judged by (`x`), characters and pairs."""
+    text = similarity.joined(F.col("tokens"))
+    spots = F.transform("pairs", lambda p: F.pmod(_hash40(p), F.lit(64 * WORDS)))
+    bits = [F.aggregate(F.filter("spots", lambda p: F.floor(p / 64) == w), F.lit(0).cast("long"),
+                        lambda s, p: s.bitwiseXOR(_bit(p % 64))) for w in range(WORDS)]
+    sig = F.aggregate("tokens", F.lit(0).cast("long"),
+                      lambda s, t: s.bitwiseOR(_bit(F.pmod(_hash40(t), F.lit(64)))))
+    k = _allowed(F.col("length"), threshold)
+    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    return (classes.withColumn("k", k)
+            # A partner may be shorter by k, or longer; a pair looks for one another by one k.
+            .withColumn("k_low", F.greatest(F.lit(1), _allowed(F.col("length") - F.col("k"), threshold)))
+            .withColumn("k_high", _allowed(F.col("length") + F.col("k"), threshold))
+            .withColumn("padded", padded)
+            .withColumn("pairs", F.transform(F.sequence(F.lit(1), F.col("length") + 1),
+                                             lambda i: F.col("padded").substr(i, F.lit(2))))
+            .withColumn("spots", spots)
+            .withColumn("miss", F.floor(F.col("k") / 2).cast("int"))
+            .withColumn("x", F.struct("first", "class", "length", "miss", sig.alias("sig"),
+                                      F.array(*bits).alias("bits")))
+            .drop("spots", "padded"))
 
 
-def _with_edits(classes: DataFrame, threshold: int) -> DataFrame:
-    """Add k, and k_low: a partner may be shorter by the factor T/(200-T), and the smaller k of
-    a pair says where to look for it."""
-    k = _allowed("length", threshold)
-    k_low = F.floor(k * threshold / F.lit(200 - threshold)).cast("int") - 1
-    return classes.withColumn("k", k).where("k > 0").withColumn("k_low", F.greatest(F.lit(1), k_low))
+def _listed(rows: DataFrame, space: Column | int, key: Column, kind: int) -> DataFrame:
+    """(list, kind, class): entries of the lists that category, space and key name."""
+    space = space if isinstance(space, Column) else F.lit(space)
+    return rows.select(F.xxhash64("category", space, key).alias("list"), F.lit(kind).alias("kind"), "class")
 
 
-def _one_deletion_keys(edited: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Path B with at most one deletion per side: token hash sums of a set and of what is left.
+def _deletion_keys(rows: DataFrame, space: int, both: bool) -> DataFrame:
+    """Token hash sums of a set and of what is left after one deletion.
 
     Joining is deletion of the blank between two tokens; the rests are sorted, so the lower
-    token comes first.
+    token comes first. `both`: one deletion on either side as well.
     """
-    near = edited.where("k_low <= 2").withColumn("total", _total())
+    summed = rows.withColumn("total", _total())
     shorter = F.flatten(F.transform("tokens", lambda x: F.transform(
         F.sequence(F.lit(1), F.length(x)),
         lambda p: F.col("total") - _hash40(x) + _hash40(F.concat(
@@ -96,87 +136,138 @@ def _one_deletion_keys(edited: DataFrame) -> tuple[DataFrame, DataFrame]:
     merged = F.flatten(F.transform("tokens", lambda x, i: F.transform(
         F.slice("tokens", i + 2, F.size("tokens")),
         lambda y: F.col("total") - _hash40(x) - _hash40(y) + _hash40(F.concat(x, y)))))
-    whole = near.select("category", "class", F.col("total").alias("key"))
-    less = near.select("category", "class", F.explode(F.concat(shorter, merged)).alias("key"))
-    # One deletion in all suffices for k = 1; one on each side is for k = 2.
-    both = _plain(near.where("k >= 2").select(
-        "category", "class", F.explode(F.concat(shorter, merged)).alias("key")), -3)
-    return _plain(less, -2).unionByName(both), _plain(whole, -2).unionByName(both)
-
-
-def _multiset_keys(edited: DataFrame) -> DataFrame:
-    """Path B by characters. floor(k/3) + 1 parts leave floor(k/parts) <= 2 edits for one."""
-    keyed = (edited.where("k >= 2")
-             .withColumn("chars", F.split(similarity.joined(F.col("tokens")), ""))
-             .withColumn("k", F.explode(F.sequence(F.greatest(F.lit(2), F.col("k_low")), "k")))
-             .withColumn("parts", (F.floor(F.col("k") / 3) + 1).cast("int"))
-             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .withColumn("hashes", F.transform(
-                 F.filter("chars", lambda c: F.ascii(c) % F.col("parts") == F.col("part")),
-                 _hash40))
-             .withColumn("slack", F.floor(F.col("k") / F.col("parts")).cast("int"))
-             .withColumn("sum", F.aggregate("hashes", F.lit(0).cast("long"), lambda s, h: s + h))
-             .withColumn("distinct", F.array_distinct("hashes")))
-
-    def less(count: int, key: Column) -> Column:
-        return F.struct(F.lit(count).alias("deleted"), key.alias("key"))
-
-    none = F.array(less(0, F.col("sum")))
-    one = F.transform("distinct", lambda h: less(1, F.col("sum") - h))
+    less = summed.withColumn("less", F.explode(F.array_distinct(F.concat(shorter, merged))))
+    keys = _listed(less, space, F.col("less"), LESS).unionByName(
+        _listed(summed, space, F.col("total"), WHOLE))
+    return keys.unionByName(_listed(less, space + 1, F.col("less"), ALIKE)) if both else keys
+
+
+def _two_fewer_keys(rows: DataFrame, space: int) -> DataFrame:
+    """Character hash sums of a text, and less any two characters."""
+    summed = rows.withColumn("chars", F.transform(
+        F.split(similarity.joined(F.col("tokens")), ""), _hash40)) \
+        .withColumn("sum", F.aggregate("chars", F.lit(0).cast("long"), lambda s, h: s + h)) \
+        .withColumn("distinct", F.array_distinct("chars"))
     two = F.flatten(F.transform("distinct", lambda h, i: F.transform(
-        F.slice("distinct", i + 1, F.size("distinct")),
-        lambda g: less(2, F.col("sum") - h - g))))
-    nothing = F.slice(one, 1, 0)
-    keys = F.concat(none, F.when(F.col("k") > 2, one).otherwise(nothing),
-                    F.when(F.col("slack") >= 2, two).otherwise(nothing))
-    # k and part name the key space; a part number never exceeds its k.
-    return keyed.select("category", "class", (F.col("k") * 100000 + F.col("part")).alias("space"),
-                        "slack", F.inline(keys)).select(KEY_COLUMNS)
-
-
-def _keyed_candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    edited = _with_edits(classes, threshold)
-    shorter, whole = _one_deletion_keys(edited)
-    parts = _multiset_keys(edited)
-    left = shorter.unionByName(parts) \
-        .withColumnsRenamed({"class": "a", "deleted": "deleted_a"})
-    right = whole.unionByName(parts).drop("slack") \
-        .withColumnsRenamed({"class": "b", "deleted": "deleted_b"})
-    # Two deletions on one side are the only way left for k = 2 to find a pair by characters.
-    k_two = F.col("space").between(200000, 299999)
-    asked = (F.col("deleted_a") + F.col("deleted_b")).between(F.when(k_two, 2).otherwise(0),
-                                                              F.col("slack"))
-    # Space -2 has different keys for a and for b; in the others a pair meets twice.
-    once = (F.col("space") == -2) | (F.col("a") < F.col("b"))
-    return (left.join(right, ["category", "space", "key"])
-            .where((F.col("a") != F.col("b")) & once & asked).select("a", "b"))
-
-
-def _token_candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    """Path A: one of the rarest tokens of a, one more than may be missing, must be in b."""
-    tokens = classes.select(
-        "category", "class",
-        (F.floor(_allowed("length", threshold) / 2) + 1).alias("take"),
-        F.explode("tokens").alias("token"))
+        F.slice("distinct", i + 1, F.size("distinct")), lambda g: F.col("sum") - h - g)))
+    less = summed.withColumn("less", F.explode(F.array_distinct(two)))
+    return _listed(less, space, F.col("less"), LESS).unionByName(
+        _listed(summed, space, F.col("sum"), WHOLE))
+
+
+def _group_keys(rows: DataFrame, space: int, groups: int) -> DataFrame:
+    """Characters in groups; a key for any two groups together, the others being changed."""
+    chars = F.split(similarity.joined(F.col("tokens")), "")
+    sums = [F.aggregate(F.filter("chars", lambda c: F.ascii(c) % groups == g), F.lit(0).cast("long"),
+                        lambda s, c: s + _hash40(c)) for g in range(groups)]
+    keys = [F.struct(F.lit(groups * i + j).alias("which"), (F.col("sums")[i] + F.col("sums")[j]).alias("sum"))
+            for i in range(groups) for j in range(i + 1, groups)]
+    keyed = rows.withColumn("chars", chars).withColumn("sums", F.array(*sums)) \
+        .withColumn("two", F.explode(F.array(*keys)))
+    return _listed(keyed, space, F.col("two"), ALIKE)
+
+
+def _grid(k: Column) -> Column:
+    """Multiples of four, so that partners of other lengths have few more keys."""
+    return (F.ceil(k / 4) * 4).cast("int")
+
+
+def _pair_keys(rows: DataFrame, space: int) -> DataFrame:
+    """Adjacent pairs in 3 k + 1 groups, a key each."""
+    levels = F.array_distinct(F.transform(
+        F.sequence(F.greatest(F.lit(4), F.col("k_low")), F.col("k")), _grid))
+    keyed = (rows.withColumn("hashes", F.transform("pairs", _hash40))
+             .withColumn("level", F.explode(levels))
+             .withColumn("group", F.explode(F.sequence(F.lit(0), 3 * F.col("level"))))
+             .withColumn("sum", F.aggregate(
+                 F.filter("hashes", lambda h: F.pmod(h, 3 * F.col("level") + 1) == F.col("group")),
+                 F.lit(0).cast("long"), lambda s, h: s + h)))
+    return _listed(keyed, space + F.col("level"), F.struct("group", "sum"), ALIKE)
+
+
+def _edit_keys(classes: DataFrame) -> DataFrame:
+    """Path B. Spaces: 1 for k = 1; 2 to 6 for k = 2; 7 for k = 3; 10 and more beyond.
+
+    Texts of different k meet by the lower one, but by 2 if that is 1: six keys are the fewest.
+    """
+    two = _group_keys(classes.where("k >= 2 AND k_low <= 2 OR k = 1 AND k_high >= 2"), 2, 4)
+    dense = two.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= DENSE).select("list")
+    exact = two.join(dense, "list", "left_semi").select("class").distinct()
+    crowded = classes.join(exact, "class", "left_semi")
+    keys = [_deletion_keys(classes.where("k = 1"), 1, both=False),
+            two.join(dense, "list", "left_anti"),
+            _deletion_keys(crowded, 3, both=True), _two_fewer_keys(crowded, 5),
+            _group_keys(classes.where("k >= 3 AND k_low <= 3"), 7, 5),
+            _pair_keys(classes.where("k >= 4"), 10)]
+    out = keys[0]
+    for more in keys[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _token_keys(classes: DataFrame) -> DataFrame:
+    """Path A: one of the rarest tokens, one more than may be missing, must be in the other."""
+    tokens = classes.select("category", "class", "miss", F.explode("tokens").alias("token"))
     frequency = tokens.groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
     rarest_first = Window.partitionBy("class").orderBy("df", "token")
     rare = (tokens.join(frequency, ["category", "token"])
             .withColumn("rank", F.row_number().over(rarest_first))
-            .where(F.col("rank") <= F.col("take"))
-            .select("category", "token", F.col("class").alias("a")))
-    others = tokens.select("category", "token", F.col("class").alias("b"))
-    return rare.join(others, ["category", "token"]).where("a <> b").select("a", "b")
+            .where(F.col("rank") <= F.col("miss") + 1))
+    return _listed(rare, 0, F.col("token"), RARE).unionByName(_listed(tokens, 0, F.col("token"), ALL))
 
 
-def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
-    """Pairs of different classes (a < b) that reach the threshold: score and sizes."""
-    if not 50 < threshold < 100:
-        raise ValueError("threshold must lie between 50 and 100")
-    candidates = _keyed_candidates(classes, threshold) \
-        .unionByName(_token_candidates(classes, threshold))
-    candidates = (candidates
-                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                  .distinct())
+def _possible(x: Column, y: Column, kind: Column, threshold: int) -> Column:
+    """What bitmaps allow; `kind` is that of x."""
+    k = _allowed(F.least(x["length"], y["length"]), threshold)
+    differ = sum((F.bit_count(x["bits"][w].bitwiseXOR(y["bits"][w])) for w in range(WORDS)), F.lit(0))
+    edit = (F.abs(x["length"] - y["length"]) <= k) & (differ <= 3 * k)
+
+    def inside(a: Column, b: Column) -> Column:
+        return F.bit_count(a["sig"].bitwiseAND(F.bitwise_not(b["sig"]))) <= a["miss"]
+
+    return F.when(kind == RARE, inside(x, y)).when(kind == ALL, inside(y, x)).otherwise(edit)
+
+
+def _meets(kind: Column) -> Column:
+    """The kind of entries that an entry of this kind is compared with."""
+    return F.element_at(F.array(*[F.lit(k) for k in (ALIKE, WHOLE, LESS, ALL, RARE)]), kind + 1)
+
+
+def _all_candidates(keys: DataFrame, threshold: int) -> DataFrame:
+    """(a, b), a < b: all pairs of lists that bitmaps allow."""
+    one = keys.where(F.col("kind").isin(ALIKE, LESS, RARE))
+    other = keys.select("list", F.col("kind").alias("other_kind"), F.col("x").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    once = F.when(F.col("kind") == ALIKE, x["class"] < y["class"]).otherwise(x["class"] != y["class"])
+    return (one.join(other, "list")
+            .where((F.col("other_kind") == _meets(F.col("kind"))) & once
+                   & _possible(x, y, F.col("kind"), threshold))
+            .select(F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b"))
+            .distinct())
+
+
+def _shared(keys: DataFrame, featured: DataFrame) -> DataFrame:
+    """(list, kind, x): entries of lists with two classes or more; most keys have one."""
+    keys = cut_lineage(keys)
+    several = keys.groupBy("list").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
+        .where("low <> high").select("list")
+    return keys.join(several, "list", "left_semi").join(featured.select("class", "x"), "class") \
+        .select("list", "kind", "x")
+
+
+def _keyed_candidates(classes: DataFrame, threshold: int) -> DataFrame:
+    featured = _with_features(classes, threshold)
+    return _all_candidates(_shared(_edit_keys(featured), featured), threshold)
+
+
+def _keys(featured: DataFrame) -> DataFrame:
+    return _shared(_edit_keys(featured).unionByName(_token_keys(featured)), featured)
+
+
+# ---- scores --------------------------------------------------------------------------------------
+
+def _scored(candidates: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Candidates (a, b) that reach the threshold: score and sizes."""
     def side(name: str) -> DataFrame:
         return classes.select(F.col("class").alias(name), F.col("tokens").alias(f"tokens_{name}"),
                               F.col("members").alias(f"members_{name}"))
@@ -193,19 +284,144 @@ def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
         return F.lit(100.0) - F.lit(100.0) * distance / base
 
     shares = F.col("shared_len") > 0
-    # Levenshtein distance never exceeds the indel distance and is built in: try it first.
-    maybe = near(F.levenshtein("rest_a", "rest_b"), p["indel_base"])
-    distance = F.when(~p["subset"] & maybe,
-                      similarity.indel(F.col("rest_a"), F.col("rest_b")))
-    scored = pairs.withColumn("distance", distance)
-    edit = F.col("distance").isNotNull() & near(F.col("distance"), p["indel_base"])
     closed = shares & (near(p["short_a"], p["base_a"]) | near(p["short_b"], p["base_b"]))
-    score = F.when(p["subset"], F.lit(100.0)).otherwise(F.greatest(
-        F.when(F.col("distance").isNotNull(), closeness(F.col("distance"), p["indel_base"])),
-        F.when(shares, closeness(p["short_a"], p["base_a"])),
-        F.when(shares, closeness(p["short_b"], p["base_b"]))))
-    return scored.where(p["subset"] | closed | edit).select(
-        "a", "b", score.alias("score"), "members_a", "members_b")
+    most = F.floor(p["indel_base"] * (100 - threshold) / F.lit(100))
+    judged = pairs.withColumn("sure", p["subset"] | closed)
+    measured = similarity.with_indel(judged, "rest_a", "rest_b", F.when(~p["subset"], most), "distance")
+
+    def score(distance: Column) -> Column:
+        by_edits = F.when(near(distance, p["indel_base"]) | F.col("sure"), closeness(distance, p["indel_base"]))
+        return F.when(p["subset"], F.lit(100.0)).otherwise(F.greatest(
+            by_edits, F.when(shares & F.col("sure"), closeness(p["short_a"], p["base_a"])),
+            F.when(shares & F.col("sure"), closeness(p["short_b"], p["base_b"]))))
+
+    # Named once, as an argument: the optimizer would repeat it in each expression that names it.
+    scores = F.filter(F.transform(F.array("distance"), score), lambda x: x.isNotNull())
+    return measured.withColumn("score", F.explode(scores)).select(
+        "a", "b", "score", "members_a", "members_b")
+
+
+def _checked(threshold: int) -> None:
+    if not 50 < threshold < 100:
+        raise ValueError("threshold must lie between 50 and 100")
+
+
+def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
+    """Pairs of different classes (a < b) that reach the threshold: score and sizes."""
+    _checked(threshold)
+    featured = _with_features(classes, threshold)
+    return _scored(_all_candidates(_keys(featured), threshold), classes, threshold)
+
+
+# ---- earliest matches ----------------------------------------------------------------------------
+
+#: Entries of each list in the first whole round; how many times more each next one takes; entries
+#: that travel together; copies of these, so that the askers of a long list spread over as many tasks.
+ROUND, GROWTH, CHUNK, SALTS = 64, 64, 64, 8
+
+
+def _numbered(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings (list, kind, pos, x) and asks (list, kind, meets, bound, limit, x) of all keys.
+
+    Entries of a list are numbered by their earliest record, each kind for itself. Lists are
+    range-partitioned, so that a long one spreads over many partitions: a number is the number
+    in the partition plus the counts of the partitions before it. limit: how many entries of the
+    kind that it meets an entry has before it, and, as `total`, in all.
+    """
+    second = F.col("kind").isin(WHOLE, ALL).cast("int")
+    # Written once, so that a retry cannot meet other range bounds.
+    ranged = cut_lineage(
+        keys.repartitionByRange(F.col("list"), F.col("x.first"), F.col("x.class"))
+        .withColumn("range", F.spark_partition_id()))
+    whole_list = Window.partitionBy("list")
+    before = whole_list.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("list", "range").agg(F.sum(1 - second).alias("n0"), F.sum(second).alias("n1"))
+    offsets = counts.select("list", "range", *[c for i in (0, 1) for c in (
+        F.coalesce(F.sum(f"n{i}").over(before), F.lit(0)).alias(f"offset{i}"),
+        F.sum(f"n{i}").over(whole_list).alias(f"total{i}"))])
+    inside = Window.partitionBy("list", "range").orderBy("x.first", "x.class") \
+                   .rowsBetween(Window.unboundedPreceding, -1)
+    placed = (ranged.withColumns({f"seen{i}": F.coalesce(F.sum(v).over(inside), F.lit(0))
+                                  for i, v in ((0, 1 - second), (1, second))})
+              .join(offsets, ["list", "range"])
+              .withColumns({f"at{i}": F.col(f"seen{i}") + F.col(f"offset{i}") for i in (0, 1)}))
+    meets = _meets(F.col("kind"))
+    other = meets.isin(WHOLE, ALL)
+    rows = cut_lineage(placed.select(
+        "list", "kind", "x", F.when(second == 1, F.col("at1")).otherwise(F.col("at0")).alias("pos"),
+        meets.alias("meets"), F.when(other, F.col("at1")).otherwise(F.col("at0")).alias("limit"),
+        F.when(other, F.col("total1")).otherwise(F.col("total0")).alias("total")))
+    return rows.select("list", "kind", "pos", "x"), rows.drop("pos").where("total > 0")
+
+
+def _bounded(firsts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, bound): the record from which on no match of the class can be the earliest.
+
+    firsts: (class, article_id, parent_article_id) of records that the class matches. A record
+    matches neither its parent nor its children: of records without a parent, at most one does
+    not count for a given record, and none if no record of the class has a parent.
+    """
+    parentless = F.col("parent_article_id").isNull()
+    alone = F.col("members") == 1
+    kin = F.col("article_id").eqNullSafe(F.col("parent")) | F.col("parent_article_id").eqNullSafe(F.col("first"))
+    counts = F.when(alone, ~kin).otherwise(parentless)
+    ids = F.sort_array(F.collect_set(F.when(counts, F.col("article_id"))))
+    which = F.when(F.any_value("members") == 1, 0).when(F.any_value("parent").isNull(), 0).otherwise(1)
+    return (firsts.join(classes.select("class", "members", "first", "parent"), "class")
+            .groupBy("class").agg(F.get(ids, which).alias("bound")).where("bound IS NOT NULL"))
+
+
+def _earliest_links(described: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """(class, matched_class, score) of classes with features: links among which each record's earliest match is.
+
+    Every class asks its lists for their entries in order, in rounds; first of all, for the earliest
+    of their heads alone. An ask ends where a list ends or goes on with records that cannot
+    precede what the class has found.
+    """
+    postings, asks = _numbered(_keys(classes))
+    firsts = cut_lineage(_earliest(described.select("class", "article_id", "parent_article_id")))
+    own = _bounded(firsts.join(classes.where("members > 1").select("class"), "class", "left_semi"), classes)
+    bounds = classes.select("class", "first", "last").join(own, "class", "left").select(
+        "class", "first", F.least("last", F.coalesce("bound", "last")).alias("bound"))
+    asks = cut_lineage(
+        asks.withColumn("class", F.col("x.class")).join(bounds, "class")
+        .withColumn("limit", F.when(F.col("bound") <= F.col("first"), F.col("limit")).otherwise(F.col("total")))
+        .where("limit > 0").drop("first", "total")
+        .withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int")))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    found: DataFrame | None = None
+    low, high, heads = 0, 1, True
+    while not asks.isEmpty():
+        chunk = F.floor((F.col("pos") - low) / CHUNK)
+        chunks = (postings.where((F.col("pos") >= low) & (F.col("pos") < high))
+                  .groupBy("list", F.col("kind").alias("meets"), chunk.alias("chunk"))
+                  .agg(F.collect_list("x").alias("entries")).withColumn("salt", salts))
+        last = F.floor((F.least(F.col("limit"), F.lit(high)) - 1 - low) / CHUNK)
+        asked = asks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        candidates = (asked.join(chunks, ["list", "meets", "chunk", "salt"])
+                      .withColumn("y", F.explode("entries"))
+                      .where((F.col("y.first") < F.col("bound")) & (F.col("y.class") != F.col("class"))
+                             & _possible(F.col("x"), F.col("y"), F.col("kind"), threshold))
+                      .select(F.col("class").alias("a"), F.col("y.class").alias("b"), "y.first").distinct())
+        if heads:
+            candidates = candidates.groupBy("a").agg(F.min_by("b", "first").alias("b"))
+        links = cut_lineage(_scored(candidates.select("a", "b"), classes, threshold).select(
+            F.col("a").alias("class"), F.col("b").alias("matched_class"), "score"))
+        found = links if found is None else found.unionByName(links)
+        reached = links.select("class", F.col("matched_class").alias("from")).join(
+            firsts.withColumnRenamed("class", "from"), "from").drop("from")
+        closer = _bounded(reached, classes).select("class", F.col("bound").alias("closer"))
+        tops = postings.where(F.col("pos") == high - 1).select(
+            "list", F.col("kind").alias("meets"), F.col("x.first").alias("top"), salts.alias("salt"))
+        asks = cut_lineage(
+            asks.where(F.col("limit") > (0 if heads else high)).join(closer, "class", "left")
+            .withColumn("bound", F.least("bound", F.coalesce("closer", "bound"))).drop("closer")
+            .join(tops, ["list", "meets", "salt"]).where(F.col("top") < F.col("bound")).drop("top"))
+        low, high = (0, ROUND) if heads else (high, high * (GROWTH + 1))
+        heads = False
+    empty = classes.select("class", F.col("class").alias("matched_class"), F.lit(100.0).alias("score"))
+    # A pair may meet in several rounds, but a record must be there once to be ranked.
+    return found.distinct() if found is not None else empty.limit(0)
 
 
 def _earliest(rows: DataFrame) -> DataFrame:
@@ -230,9 +446,12 @@ def _linked(articles: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
 
     A class with copies is linked to itself.
     """
-    described = describe(articles)
-    classes = classes_of(described)
-    pairs = similar_classes(classes, threshold)
+    _checked(threshold)
+    described = cut_lineage(describe(articles))
+    classes = cut_lineage(_with_features(classes_of(described), threshold))
+    keys = _keys(classes)
+    # Read by every list of match_counts.
+    pairs = cut_lineage(_scored(_all_candidates(keys, threshold), classes, threshold))
 
     def link(one: str, other: str) -> Column:
         return F.struct(F.col(one).alias("class"), F.col(other).alias("matched_class"), "score",
@@ -248,7 +467,14 @@ def _linked(articles: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
 
 def flagged(articles: DataFrame, threshold: int = 97) -> DataFrame:
     """record_id, first_match (the earliest record it matches) and their score."""
-    return _flagged(*_linked(articles, threshold))
+    _checked(threshold)
+    # Read in every round below.
+    described = cut_lineage(describe(articles))
+    classes = cut_lineage(_with_features(classes_of(described), threshold))
+    links = _earliest_links(described, classes, threshold)
+    own = classes.where("members > 1").select(
+        "class", F.col("class").alias("matched_class"), F.lit(100.0).alias("score"))
+    return _flagged(described.drop("merch_category", "tokens"), links.unionByName(own))
 
 
 def _flagged(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -29,8 +29,8 @@ def test_numbered_barcodes_equal_text_ones(spark):
 def test_token_set_and_indel(spark):
     df = spark.createDataFrame([("b a a \tc", "kitten", "sitting"), (None, "", "abc"),
                                 ("  ", "abc", ""), ("x", "ab", "ab")], "t string, x string, y string")
-    out = df.select(similarity.token_set(F.col("t")).alias("t"),
-                    similarity.indel(F.col("x"), F.col("y")).alias("d")).collect()
+    out = similarity.with_indel(df.withColumn("t", similarity.token_set(F.col("t"))),
+                                "x", "y", F.lit(9), "d").collect()
     assert [r.t for r in out] == [["a", "b", "c"], [], [], ["x"]]
     assert [r.d for r in out] == [5, 3, 3, 0]
 

@@ -120,8 +120,7 @@ def test_candidates_of_serial_numbers_are_few(spark):
     df = spark.createDataFrame(rows, "article_id string, article_description string, "
                                      "merch_category string, parent_article_id string")
     classes = near_duplicates.classes_of(near_duplicates.describe(df)).persist()
-    base = classes.selectExpr("*", "0 as budget", "array('') as short", "false as many")
-    found = near_duplicates._keyed_candidates(base, 97).distinct().count()
+    found = near_duplicates._keyed_candidates(classes, 97).distinct().count()
     assert found <= 1.1 * near_duplicates.similar_classes(classes).count()
 
 
@@ -160,3 +159,47 @@ def test_hot_group_of_copies_stays_linear(spark):
     got = actual(spark, rows)
     assert [g[1] for g in got] == ["H00000"] * 2999
     assert [g[2] for g in got] == list(range(1, 3000))
+
+
+def test_a_family_that_is_all_alike_stays_linear(spark, monkeypatch):
+    """Long texts that differ in a serial number: all pairs match, few are compared."""
+    counted = {}
+    scored = near_duplicates._scored
+    for size in (400, 800):
+        rows = [(f"S{n:05d}", f"{LONG} serial {n:05d}", "a", None) for n in range(size)]
+        df = spark.createDataFrame(rows, "article_id string, article_description string, "
+                                         "merch_category string, parent_article_id string")
+        seen = []
+
+        def count(candidates, classes, threshold, seen=seen):
+            seen.append(candidates.count())
+            return scored(candidates, classes, threshold)
+
+        monkeypatch.setattr(near_duplicates, "_scored", count)
+        got = sorted((r.record_id, r.first_match) for r in near_duplicates.flagged(df).collect())
+        assert got == [(f"S{n:05d}", "S00000") for n in range(1, size)]
+        counted[size] = sum(seen)
+    assert counted[800] <= 2.1 * counted[400] <= 2.1 * 2 * 400
+
+
+def test_keys_are_few_and_rounds_go_on(spark, monkeypatch):
+    """Ten keys a text at most where k is 2 or 3; lists longer than a round are read to their end."""
+    rng = random.Random(8)
+    texts = [f"{rng.randint(1, 50)} {rng.choice(['SMALL', 'LARGE'])} {rng.choice(['cold', 'blue'])} "
+             f"{rng.choice(['ring', 'bolt'])} {rng.getrandbits(64):016x}{'x' * rng.choice([0, 21])}" for _ in range(900)]
+    rows = [(f"T{n:04d}", t, "c", None) for n, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "article_id string, article_description string, "
+                                     "merch_category string, parent_article_id string")
+    classes = near_duplicates.classes_of(near_duplicates.describe(df))
+    keys = near_duplicates._edit_keys(near_duplicates._with_features(classes, 97))
+    assert keys.count() <= 10 * classes.count()
+    # A shared rare word and nothing else: only the last ones match.
+    rows = [(f"R{n:04d}", f"common {rng.getrandbits(90):023x}", "c", None) for n in range(150)]
+    rows += [("Z1", "common 0123456789abcdef0123456", "c", None),
+             ("Z2", "common 0123456789abcdef012345", "c", None), ("Z3", "common", "c", "R0000")]
+    monkeypatch.setattr(near_duplicates, "ROUND", 1)
+    monkeypatch.setattr(near_duplicates, "GROWTH", 3)
+    monkeypatch.setattr(near_duplicates, "CHUNK", 2)
+    df = spark.createDataFrame(rows, df.schema)
+    named = sorted((r.record_id, r.first_match) for r in near_duplicates.flagged(df).collect())
+    assert named == [e[:2] for e in expected(rows)]
