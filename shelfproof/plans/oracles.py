@@ -814,7 +814,7 @@ FROM worklist JOIN labels_ USING (error_type) GROUP BY ALL""")
   floor(median(n))::BIGINT AS median FROM ({groups})""")
     out["d08_worst_groups"] = _with(work, f"{groups} ORDER BY n DESC, store_group LIMIT 10")
     out["d09_filtered"] = _with(work, _filtered())
-    out["d10_in_order"] = _with(work, f"""SELECT ({_RANK})::INT AS severity_rank, severity, "check", record_id
+    out["d10_in_order"] = _with(work, f"""SELECT ({_RANK})::INT AS severity_rank, "check", worklist.*
 FROM worklist JOIN labels_ USING (error_type)""")
     out["d11_worklist_view"] = _with(work, """SELECT severity, "check", table_name, record_id, store_group,
   downstream_impact, description FROM worklist JOIN labels_ USING (error_type)""")
@@ -864,7 +864,25 @@ FROM (SELECT l_orderkey, sum(l_quantity) AS quantity, count(*) AS n FROM lineite
     out["s06_scorecard_sink"] = out["r_scorecard"]
     out["s07_truth_log_sink"] = _with(_INJECT, " UNION ALL ".join(f"SELECT * FROM ({t})" for t in _LOGS.values()))
     out["s09_exported_view"] = out["d11_worklist_view"]
-    out["s10_missing_inputs"] = "SELECT unnest(['exceptions', 'ground_truth', 'scorecard']) AS input, TRUE AS missing"
+    some = "error_type IN ('barcode_invalidity', 'stale_status', 'uom_pack_mismatch')"
+    clean_six = f"{CLEAN}, {_SITE_AND_LOG}"
+    out["s08_clean_tables"] = _with(clean_six, " UNION ALL ".join(counts.values()))
+    out["s10_missing_inputs"] = _with(work, f"""
+SELECT 'exceptions' AS input, count(*) AS n, FALSE AS missing FROM worklist WHERE {some}
+UNION ALL SELECT unnest(['ground_truth', 'scorecard']), NULL, TRUE""")
+    out["s11_rejected_values"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate::DATE END AS day,
+  CASE WHEN o_orderkey % 11 <> 0 THEN (o_orderkey % 50)::INT END AS lines,
+  nullif(concat_ws(';', CASE WHEN o_orderkey % 7 = 0 THEN 'day=n/a ' || o_orderdate::DATE END,
+                   CASE WHEN o_orderkey % 11 = 0 THEN 'lines=many' END), '') AS rejected
+FROM orders"""
+    out["s12_rerun_partitions"] = _with(work, f"SELECT * FROM worklist WHERE {some}")
+    severities = ", ".join(f"count(*) FILTER (severity = '{s}') AS n_{s.lower()}"
+                           for s in ("Critical", "High", "Medium", "Low"))
+    out["d16_observed_totals"] = _with(work, f"""
+SELECT count(*) AS total_exceptions, {severities} FROM worklist WHERE {some}""")
+    out["d17_distinct_records"] = _with(work, """
+SELECT error_type, count(DISTINCT record_id) AS records, TRUE AS "close" FROM worklist GROUP BY error_type""")
     out["s05_worklist_sink"] = _with(work, "SELECT * FROM worklist")
     return out
 

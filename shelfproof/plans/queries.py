@@ -9,6 +9,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfproof.functions import barcode, similarity, text
 from shelfproof.operators import (
@@ -22,9 +23,9 @@ from shelfproof.operators import (
     triage,
     verify,
 )
-from shelfproof.schema import TABLE_SCHEMAS, Tables
+from shelfproof.schema import EXCEPTION_SCHEMA, TABLE_SCHEMAS, Tables
 from shelfproof.session import shared_folder
-from shelfproof.sources import adapter, tables as sources
+from shelfproof.sources import adapter, runs, tables as sources
 
 AS_OF = adapter.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,7 +403,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("d10_in_order")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return triage.in_order(triage.filtered(_worklist(spark, folder))).select("severity_rank", "severity", "check", "record_id")
+    return triage.in_order(triage.filtered(_worklist(spark, folder)))
 
 
 @query("d11_worklist_view")
@@ -569,14 +570,85 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(view.schema).option("header", True).csv(path)
 
 
+@query("s08_clean_tables")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The six clean tables written, checked and read back: rows per table."""
+    path = _new_folder(spark, "clean")
+    t = _clean(spark, folder)
+    sources.write_tables(Tables({name: t[name] for name in TABLE_SCHEMAS}), path)
+    back = sources.read_tables(spark, path)
+    for name, df in back.items():
+        sources.check_columns(df, name, types=True)
+    return _row_counts(back)
+
+
+#: Rules on one table each, so that a run of a part of the rules is cheap.
+SOME_RULES = ("barcode_invalidity", "stale_status", "uom_pack_mismatch")
+
+
+def _some_rules(spark: SparkSession, folder: str, names: tuple[str, ...] = SOME_RULES) -> DataFrame:
+    t = _dirty(spark, folder)
+    found = rules.run(t, AS_OF, [rule for rule in rules.RULES if rule.name in names])
+    return rules.with_store_group(found, t)
+
+
 @query("s10_missing_inputs")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Outputs that no run has written into the folder of the tables are named as missing."""
-    def missing(name: str) -> bool:
-        try:
-            sources.read_output(spark, folder, name)
-        except sources.MissingInput:
-            return True
-        return False
-    return spark.createDataFrame([(n, missing(n)) for n in sources.OUTPUT_SCHEMAS],
-                                 "input string, missing boolean")
+    """A run writes its worklist and no other output: what a later step finds."""
+    path = _new_folder(spark, "out")
+    sources.write_output(_some_rules(spark, folder), path, "exceptions", partition_by="error_type")
+    return sources.inputs_found(spark, path)
+
+
+@query("s11_rejected_values")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders exported as CSV with spoilt values, parsed once: typed values and what was rejected."""
+    path = _new_folder(spark, "csv")
+    k = F.col("o_orderkey")
+    spark.read.parquet(f"{folder}/orders.parquet").select(
+        k.cast("string").alias("o_orderkey"),
+        F.concat(F.when(k % 7 == 0, "n/a ").otherwise(""), F.col("o_orderdate").cast("date").cast("string"))
+        .alias("day"),
+        F.when(k % 11 == 0, "many").otherwise((k % 50).cast("string")).alias("lines")) \
+        .write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("day", T.DateType()),
+                           T.StructField("lines", T.IntegerType())])
+    typed, rejected = sources.with_rejects(spark, path, schema, ["o_orderkey"])
+    said = rejected.groupBy(F.col("o_orderkey").cast("long").alias("o_orderkey")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "column_name", "text"))), ";").alias("rejected"))
+    return typed.join(said, "o_orderkey", "left").select("o_orderkey", "day", "lines", "rejected")
+
+
+@query("s12_rerun_partitions")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Three rules written, one of them from stale rows; that rule written again, all read back."""
+    path = _new_folder(spark, "runs")
+    work = _some_rules(spark, folder)
+    stale = work.withColumn("description", F.when(F.col("error_type") == "stale_status", "stale")
+                            .otherwise(F.col("description")))
+    runs.write_partitions(stale, path, "error_type", SOME_RULES)
+    again = _some_rules(spark, folder, ("stale_status",))
+    runs.write_partitions(again, path, "error_type", ("stale_status",))
+    return runs.read_partitions(spark, path, "error_type", EXCEPTION_SCHEMA)
+
+
+@query("d16_observed_totals")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Headline and severities of a worklist, observed by the job that writes it."""
+    seen = runs.write_partitions(_some_rules(spark, folder), _new_folder(spark, "runs"), "error_type",
+                                 SOME_RULES, triage.observed_metrics())
+    return spark.createDataFrame([tuple(seen.values())], ", ".join(f"{name} long" for name in seen))
+
+
+@query("d17_distinct_records")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct records per error type, exact, and whether merged sketches of two parts agree."""
+    work = _worklist(spark, folder).select("error_type", "record_id")
+    part = F.pmod(F.xxhash64("record_id"), F.lit(2))
+    halves = [triage.record_sketches(work.where(part == i)) for i in (0, 1)]
+    merged = triage.merged_records(halves[0].unionByName(halves[1]))
+    exact = work.groupBy("error_type").agg(F.count_distinct("record_id").alias("records"))
+    return exact.join(merged.withColumnRenamed("records", "estimate"), "error_type").select(
+        "error_type", "records",
+        # Six standard errors, and one record.
+        (F.abs(F.col("estimate") - F.col("records")) <= 1 + 0.05 * F.col("records")).alias("close"))

@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from shelfproof.schema import (
     EXCEPTION_SCHEMA,
     SCORECARD_SCHEMA,
+    SchemaMismatch,
     TABLE_SCHEMAS,
     TRUTH_SCHEMA,
     Tables,
     check_columns,
 )
-from shelfproof.session import shared_folder
+from shelfproof.session import cut_lineage, shared_folder
 
 OUTPUT_SCHEMAS = {
     "exceptions": EXCEPTION_SCHEMA,
@@ -68,6 +69,41 @@ def unparsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return raw.select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
 
 
+def with_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                 keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV dataset with declared types, and what does not parse, in one read.
+
+    The second table has a row (keys as text, column_name, text) per value with text but no value of
+    the declared type; the first has null there. Both come from one written parse.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise SchemaMismatch(f"{path}: missing {missing}")
+    parsed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    rejected = [F.when(F.col(f"`{n}`").isNotNull() & c.isNull(),
+                       F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("text")))
+                for n, c in parsed.items()]
+    both = raw.select(F.struct(*[c.alias(n) for n, c in parsed.items()]).alias("row"),
+                      F.struct(*[F.col(f"`{k}`").alias(k) for k in keys]).alias("keys"),
+                      F.filter(F.array(*rejected), lambda x: x.isNotNull()).alias("rejected"))
+    staged = cut_lineage(both)
+    return staged.select("row.*"), staged.select("keys.*", F.inline("rejected"))
+
+
+def inputs_found(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
+    """Per output that later steps read: its rows, or that it is missing."""
+    out = None
+    for name in OUTPUT_SCHEMAS:
+        try:
+            one = read_output(spark, folder, name, fmt).agg(F.count(F.lit(1)).alias("n"))
+        except MissingInput:
+            one = spark.range(1).select(F.lit(None).cast("long").alias("n"))
+        one = one.select(F.lit(name).alias("input"), "n", F.col("n").isNull().alias("missing"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def read_table(spark: SparkSession, folder: str, name: str, fmt: str = "parquet") -> DataFrame:
     suffix = ".csv" if fmt == "csv" else ""
     return read_frame(spark, f"{folder}/{name}{suffix}", TABLE_SCHEMAS[name], fmt)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from shelfproof.operators import fused, triage
 from shelfproof.schema import SchemaMismatch, TABLE_SCHEMAS, Tables, check_columns
-from shelfproof.sources import adapter, tables as sources
+from shelfproof.sources import adapter, runs, tables as sources
 from tests.conftest import AS_OF
 from tests.test_rules import messy
 
@@ -99,3 +99,58 @@ def test_filters_reach_the_scan(spark):
     plan = t["article_master"].where(F.col("status") == "active").select("article_id") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "p_retailprice" not in plan and "p_name" not in plan
+
+
+def test_rejects_and_rows_come_from_one_parse(spark, tmp_path):
+    path = tmp_path / "listing.csv"
+    path.write_text("valid_from,article_id,store_group,valid_to\n"
+                    "2024-01-01,00123,G1,2099-12-31\nsoon,A2,G1,never\n,A3,,2099-12-31\n")
+    rows, bad = sources.with_rejects(spark, str(path), TABLE_SCHEMAS["listing"], ["store_group", "article_id"])
+    read = sources.read_table(spark, str(tmp_path), "listing", "csv")
+    assert sorted(map(str, rows.collect())) == sorted(map(str, read.collect()))
+    assert sorted(tuple(r) for r in bad.collect()) == [
+        ("G1", "A2", "valid_from", "soon"), ("G1", "A2", "valid_to", "never")]
+    path.write_text("gone")  # both tables are of the one parse that was written
+    assert rows.count() == 3 and bad.count() == 2
+    with pytest.raises(SchemaMismatch, match="valid_from"):
+        sources.with_rejects(spark, str(path), TABLE_SCHEMAS["listing"], [])
+
+
+SCHEMA = "kind string, n long"
+
+
+def test_rerun_replaces_its_partitions_only(spark, tmp_path):
+    folder = str(tmp_path / "out")
+
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), SCHEMA)
+
+    def read():
+        return sorted(tuple(r) for r in runs.read_partitions(spark, folder, "kind", rows(("", 0)).schema).collect())
+
+    seen = runs.write_partitions(rows(("a", 1), ("a", 2), ("b", 3), ("x", 9)), folder, "kind", ("a", "b", "c"),
+                                 {"n": F.count(F.lit(1)), "total": F.sum("n")})
+    assert seen == {"n": 3, "total": 6}  # x is no partition of this run
+    assert read() == [("a", 1), ("a", 2), ("b", 3)]
+    assert runs.write_partitions(rows(("b", 4)), folder, "kind", ("b", "c")) == {"rows": 1}
+    assert read() == [("a", 1), ("a", 2), ("b", 4)]
+    broken = rows(("a", 5)).withColumn("n", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        runs.write_partitions(broken, folder, "kind", ("a",))
+    assert read() == [("a", 1), ("a", 2), ("b", 4)]
+    runs.write_partitions(rows(("b", 1)).limit(0), folder, "kind", ("b",))
+    assert read() == [("a", 1), ("a", 2)]
+
+
+def test_sketches_of_parts_merge_to_the_whole(spark):
+    work = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "rare").otherwise("common").alias("error_type"),
+        F.concat(F.lit("R"), F.col("id") % 20_000).alias("record_id"))
+    whole = triage.record_sketches(work)
+    parts = [triage.record_sketches(work.where(F.col("id") % 2 == i)) for i in (0, 1)]
+    want = {r.error_type: r.records for r in triage.merged_records(whole).collect()}
+    got = {r.error_type: r.records for r in triage.merged_records(parts[0].unionByName(parts[1])).collect()}
+    exact = {r.error_type: r.n for r in work.groupBy("error_type").agg(
+        F.count_distinct("record_id").alias("n")).collect()}
+    for name, n in exact.items():
+        assert abs(got[name] - n) <= 0.05 * n and abs(got[name] - want[name]) <= 0.01 * n
