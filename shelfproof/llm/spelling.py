@@ -286,11 +286,13 @@ def near_pairs(words: DataFrame, most_cells: int = MAX_CELLS) -> DataFrame:
     alphabet = [ord(r[0]) for r in words.select(F.explode(F.split("word", "")).alias("c"))
                 .filter("c != ''").distinct().collect()]
     exact = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = None
     for shards in _shards(sizes, most_cells):
         filters = spark.sparkContext.broadcast(_filters(words, shards))
         asked = sorted({*shards, *(length + 1 for length in shards)})
-        hits = words.filter(F.char_length("word").isin(asked)) \
+        # Words are few bytes and many edits: as many tasks as a shuffle has, not as files have.
+        hits = words.filter(F.char_length("word").isin(asked)).repartition(tasks, "word") \
             .mapInArrow(_prober(filters, alphabet), "word string, n long, other string")
         found = staged(hits.join(exact, "other").select("word", "n", "other", "other_n"))
         filters.destroy()
