@@ -40,6 +40,10 @@ START = 0x2020
 END = xxhash.xxh3_64_intdigest(b" end")
 STRENGTH = 1.0
 SWEEPS, BURN, SAMPLES = 3, 2, 3
+#: Dishes of more tables than this in the mean have their number drawn from three cumulants.
+DIRECT = 150
+#: Rows of weights grow by one customer up to here, by leaps beyond.
+SINGLE, LEAP = 1000, 0.2
 
 
 # ---- arrays in binary columns --------------------------------------------------------------
@@ -156,7 +160,13 @@ _MERGED = ("range int, cells binary, words long, ones array<long>, "
 
 class Ratios:
     """Logarithms of R(c, t) = S(c, t) / S(c, 1) d^(t-1) (t-1)!, S(c, t) being the generalised
-    Stirling numbers: the weight of all ways to seat c customers at t tables."""
+    Stirling numbers: the weight of all ways to seat c customers at t tables.
+
+    One customer more multiplies the row by 1 - B / (c - d), with B the same matrix for all c. So the
+    factors commute, and many customers at once are a polynomial in B whose coefficients are
+    elementary symmetric sums: a leap, taken to the fourth order, over as many customers as keep
+    the first term below LEAP. A row of c customers takes some width x log c steps, not c.
+    """
 
     def __init__(self, discount: float):
         self.d = discount
@@ -177,6 +187,11 @@ class Ratios:
             while c < count:
                 n = min(c + 1, width)
                 kept = row[:n]
+                leap = min(count - c, int(LEAP * c / (self.d * n))) if c >= SINGLE else 1
+                if leap > 4:
+                    row = self._leap(kept, c, leap)
+                    c += leap
+                    continue
                 stay = np.log(c - tables[:len(kept)] * self.d) + kept
                 row = np.full(n, -np.inf)
                 row[:len(kept)] = stay
@@ -185,35 +200,81 @@ class Ratios:
                 c += 1
             self.rows[count] = row[:width]
 
+    def _leap(self, row: np.ndarray, c: int, more: int) -> np.ndarray:
+        low, high = c - 0.5 - self.d, c + more - 0.5 - self.d
+        s1, s2, s3, s4 = (np.log1p(more / low), 1 / low - 1 / high,
+                          (low ** -2 - high ** -2) / 2, (low ** -3 - high ** -3) / 3)
+        e1 = s1
+        e2 = (e1 * s1 - s2) / 2
+        e3 = (e2 * s1 - e1 * s2 + s3) / 3
+        e4 = (e3 * s1 - e2 * s2 + e1 * s3 - s4) / 4
+        rate = self.d * np.arange(len(row))
+        out = power = np.exp(row)
+        for e in (-e1, e2, -e3, e4):
+            power = rate * np.diff(power, prepend=0.0, append=0.0)[:-1]
+            out = out + e * power
+        with np.errstate(divide="ignore"):
+            return np.log(np.maximum(out, 0.0))
+
+
+def _moments(customers: np.ndarray, pull: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, variance and third cumulant of the number of tables, from a saddle point.
+
+    pull^t S(c, t) is, but for a factor, the chance that a Poisson number t of tables with sizes of
+    generating function 1 - (1 - z)^d holds c customers together. With z where the mean total is
+    c, the sum over t is exp(K) / (z^c sqrt(2 pi V)); its derivatives by log pull are the cumulants.
+    """
+    much, least = np.log(pull), np.log(customers)
+    low, high = np.full(len(pull), -700.0), np.zeros(len(pull))
+    for _ in range(60):  # y = log(1 - z)
+        y = (low + high) / 2
+        more = much + np.log(-np.expm1(y)) + (d - 1) * y > least
+        low, high = np.where(more, y, low), np.where(more, high, y)
+    z, rest = -np.expm1(low), np.exp(low)
+    tables, slope = -np.expm1(d * low) * pull / d, 1 - d * z
+    spread = tables - customers * rest / slope
+    skew = spread - customers * (1 - d) * z * rest / slope ** 3
+    # Near z = 1 one table holds nearly all customers, and the mean is one above the others'.
+    return tables + np.minimum(z * (1 - d) / (2 * slope ** 2), 1.0), np.maximum(spread, 0.0), skew
+
 
 def reseated(customers: np.ndarray, pull: np.ndarray, ratios: Ratios,
              rng: np.random.Generator) -> np.ndarray:
     """Tables of dishes whose customers have all been seated anew.
 
     A new table weighs `pull`, a table of n customers n - d; t tables have the weight
-    pull^t S(c, t), and t is drawn from that: the distribution that single moves tend to.
+    pull^t S(c, t), and t is drawn from that: the distribution that single moves tend to. Up to
+    60 customers all t are weighed. Of more, those up to the mean + 12 standard deviations + 60:
+    the number is a sum of independent yes-or-no draws, so a larger one has a chance below 1e-20.
+    Dishes of more than DIRECT tables in the mean take the normal draw with mean, variance and third
+    cumulant: an approximation whose distribution function is within 0.012 of the weights', measured
+    for discounts 0.1 to 0.95 and 1,000 to 20,000 customers; its cost does not depend on the customers.
     """
     out = np.ones(len(customers), np.int64)
     if not len(customers):
         return out
     rate = np.log(pull / ratios.d)
-    # Small dishes have all their places. For others, the mean about which the weights lie (those
-    # of a sum of independent yes-or-no draws, its variance below its mean), from a saddle point.
     width = customers.astype(np.int64)
     big = np.flatnonzero(customers > 60)
-    much, least = np.log(pull[big]), np.log(customers[big])
-    low, high = np.full(len(big), -700.0), np.zeros(len(big))
-    for _ in range(60):
-        y = (low + high) / 2
-        more = much + np.log(-np.expm1(y)) + (ratios.d - 1) * y > least
-        low, high = np.where(more, y, low), np.where(more, high, y)
-    mean = -np.expm1(ratios.d * low) * pull[big] / ratios.d
-    width[big] = np.minimum(width[big], np.ceil(mean + 12 * np.sqrt(mean) + 60))
+    mean, spread, skew = _moments(customers[big].astype(float), pull[big], ratios.d)
+    width[big] = np.minimum(width[big], np.ceil(mean + 12 * np.sqrt(np.minimum(mean, spread + 1)) + 60))
+    draws = rng.random(len(customers))
+    direct = big[mean > DIRECT]
+    if len(direct):
+        some = mean > DIRECT
+        g, sd = rng.standard_normal(len(direct)), np.sqrt(spread[some])
+        bend = skew[some] / np.maximum(spread[some], 1e-9) / 6
+        t = np.rint(mean[some] + sd * g + bend * (g * g - 1))
+        out[direct] = np.clip(t, 1, customers[direct])
+    weighed = np.ones(len(customers), bool)
+    weighed[direct] = False
     order = np.lexsort((width, customers))
+    order = order[weighed[order]]
+    if not len(order):
+        return out
     counts, begins = np.unique(customers[order], return_index=True)
     ends = np.append(begins[1:], len(order))
     ratios.hold(counts, width[order[ends - 1]])
-    draws = rng.random(len(customers))
     for count, begin, end in zip(counts.tolist(), begins.tolist(), ends.tolist()):
         while begin < end:
             some = order[begin:min(end, begin + max(1, (1 << 18) // int(width[order[end - 1]])))]
@@ -415,9 +476,10 @@ def _asker(ranges: int):
             owner = codes // width % part.num_rows
             bounds = np.searchsorted(codes // width // part.num_rows, np.arange(ranges + 1))
             rows = []
+            home = (TaskContext.get().partitionId() + number) % ranges  # which answer brings the ids
             for r in range(ranges):
                 a, b, i, j = edges[r], edges[r + 1], bounds[r], bounds[r + 1]
-                if b > a or r == 0:
+                if b > a or r == home:
                     rows.append((r, press(
                         _steps(block.hashes[a:b]), block.contexts[a:b],
                         np.diff(owner[i:j], prepend=0).astype(np.int32), (cell[i:j] - a).astype(np.uint32),
@@ -426,7 +488,7 @@ def _asker(ranges: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r for r, _ in rows], pa.int32()), pa.array([base + number] * len(rows), pa.int64()),
                  pa.array([p for _, p in rows], pa.binary()),
-                 pa.array([ids if r == 0 else None for r, _ in rows], pa.list_(pa.int64()))], schema=schema)
+                 pa.array([ids if r == home else None for r, _ in rows], pa.list_(pa.int64()))], schema=schema)
     return ask
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -242,6 +243,42 @@ def test_reseating_mixes_counts():
     assert len(pitman_yor.reseated(customers[:0], pull[:0], ratios, rng)) == 0
 
 
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.95])
+def test_leaps_over_customers_agree_with_single_steps(d, monkeypatch):
+    counts, widths = np.array([3000, 12_000]), np.array([150, 150])
+    leaps = pitman_yor.Ratios(d)
+    leaps.hold(counts, widths)
+    monkeypatch.setattr(pitman_yor, "SINGLE", 1 << 60)
+    single = pitman_yor.Ratios(d)
+    single.hold(counts, widths)
+    for c in counts.tolist():
+        assert np.abs(leaps.rows[c][:150] - single.rows[c][:150]).max() < 1e-3
+
+
+@pytest.mark.parametrize("d, c, pull", [(0.1, 10_000, 500.0), (0.5, 3000, 3000.0), (0.8, 10_000, 500.0),
+                                        (0.95, 20_000, 160.0)])
+def test_direct_draws_agree_with_the_weights(d, c, pull):
+    n = 20_000
+    drawn = pitman_yor.reseated(np.full(n, c), np.full(n, pull), pitman_yor.Ratios(d), np.random.default_rng(6))
+    mean, spread, _ = (x[0] for x in pitman_yor._moments(np.array([float(c)]), np.array([pull]), d))
+    assert mean > pitman_yor.DIRECT
+    ratios, width = pitman_yor.Ratios(d), int(min(c, mean + 12 * spread ** 0.5 + 60))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pitman_yor, "SINGLE", 1 << 60)
+        ratios.hold(np.array([c]), np.array([width]))
+    t = np.arange(width)
+    weight = ratios.rows[c][:width] - np.concatenate([[0.0], np.cumsum(np.log(t[1:]))]) + np.log(pull / d) * t
+    weight = np.exp(weight - weight.max())
+    share = np.bincount(np.minimum(drawn - 1, width - 1), minlength=width) / n
+    assert np.abs(np.cumsum(share) - np.cumsum(weight / weight.sum())).max() < 0.012 + 0.012
+
+
+def test_ten_million_customers_take_no_longer():
+    ratios, rng, begin = pitman_yor.Ratios(0.7), np.random.default_rng(8), time.perf_counter()
+    t = pitman_yor.reseated(np.full(2, 10 ** 7), np.array([0.5, 5e5]), ratios, rng)
+    assert t[0] < 20 and t[1] > 10 ** 5 and time.perf_counter() - begin < 5
+
+
 PAGE = """<html><head><title>No</title><style>p{}</style></head><body><header>Site</header>
 <nav><a>Home</a></nav><div class="cookie-notice">Yes?</div><article><header><h1>Head  &amp; line</h1></header>
 <p>One <b>bold</b>
