@@ -467,6 +467,79 @@ _LOGS = {
                            "approval_status", "'live'", "s12"),
 }
 
+# ---- injection by bands of one hash -----------------------------------------------------
+
+def _in_band(low: float, rate: float, prefix: str = "") -> str:
+    return (f"({prefix}b >= {round(low * 16 ** 7)} AND {prefix}b < {round((low + rate) * 16 ** 7)})")
+
+
+def _banded(table: str, key: str) -> str:
+    h = f"md5('7:{table}-band:' || {key})"
+    return f"{_hex(h, 1)} AS b, {_hex(h, 9)} AS v"
+
+
+_PAIR_BAND = f"{_hex("md5('7:listing-band:' || {t}.article_id || ':' || {g}.store_group)", 1)} < {round(0.05 * 16 ** 7)}"
+_BANDED = f"""{CLEAN},
+bi AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {_in_band(0, 0.06)} THEN 'fake' WHEN {_in_band(0.06, 0.06)} THEN 'late'
+      WHEN {_in_band(0.12, 0.05)} THEN 'loss' ELSE 'none' END AS b)
+  FROM (SELECT i.*, h.header_end, a.cost_price, l.article_id IS NOT NULL
+      AND a.article_id IS NOT NULL AND {_PAIR_BAND.format(t="i", g="h")} AS in_gone,
+    {_banded("promotion_item", "i.promo_item_id")}
+  FROM promotion_item i LEFT JOIN promotion_header h USING (promo_id)
+  LEFT JOIN article_master a ON a.article_id = i.article_id
+  LEFT JOIN listing l ON l.article_id = i.article_id AND l.store_group = h.store_group)),
+ba AS MATERIALIZED (SELECT a.*, u.first_start, u.packed, {_banded("article_master", "a.article_id")}
+  FROM article_master a LEFT JOIN (SELECT article_id, min(item_start) AS first_start,
+    bool_or(mechanic = 'multibuy') AS packed FROM bi WHERE b <> 'fake' GROUP BY article_id) u
+  USING (article_id)),
+bh AS MATERIALIZED (SELECT h.*, {_banded("promotion_header", "h.promo_id")},
+    (SELECT max(item_end) FROM promotion_item i WHERE i.promo_id = h.promo_id) AS last_end
+  FROM promotion_header h),
+bt AS MATERIALIZED (SELECT 'PITTOB_' || article_id AS promo_item_id, tobacco_floor_price,
+    round(lo + (tobacco_floor_price * 0.97::DOUBLE - lo) * (v::DOUBLE / 268435456.0::DOUBLE), 2)
+      AS promo_price
+  FROM (SELECT a.*, CASE WHEN cost_price * 1.02::DOUBLE >= tobacco_floor_price * 0.97::DOUBLE
+      THEN tobacco_floor_price * 0.90::DOUBLE ELSE cost_price * 1.02::DOUBLE END AS lo FROM ba a
+    WHERE {_in_band(0.35, 0.08)} AND merch_category = 'TOBACCO' AND status = 'active'
+      AND tobacco_floor_price IS NOT NULL AND EXISTS (SELECT 1 FROM listing l
+        WHERE l.article_id = a.article_id AND NOT ({_PAIR_BAND.format(t="l", g="l")})
+          AND l.store_group IN (SELECT store_group FROM promotion_header)))),
+banded_log AS MATERIALIZED (""" + " UNION ALL ".join([
+    _truth("referential_integrity", _ITEM, "promo_item_id", "promo_item_id", "'article_id'", "article_id",
+           "'ARTFAKE_' || promo_item_id", "bi WHERE b = 'fake'"),
+    _truth("listing_conflict", _ITEM, "promo_item_id", "promo_item_id", "'listing_row'", "'listed'",
+           "'removed (delisted)'", "bi WHERE in_gone AND b <> 'fake'"),
+    _truth("header_item_date_mismatch", _ITEM, "promo_item_id", "promo_item_id", "'item_end'", "item_end",
+           "header_end + (2 + v % 8)::INT", "bi WHERE b = 'late' AND header_end IS NOT NULL"),
+    _truth("margin_breach", _ITEM, "promo_item_id", "promo_item_id", "'promo_price'", _money("promo_price"),
+           _money("round(cost_price * (0.6::DOUBLE + 0.3::DOUBLE * (v::DOUBLE / 268435456.0::DOUBLE)), 2)"),
+           "bi WHERE b = 'loss' AND mechanic IN ('fixed_price', 'multibuy') AND cost_price IS NOT NULL"),
+    _truth("tobacco_floor_breach", _ITEM, "promo_item_id", "promo_item_id", "'promo_price'",
+           f"'floor=' || {_money('tobacco_floor_price')}", _money("promo_price"), "bt"),
+    _truth("referential_timing", _ART, "article_id", "article_id", "'status'", "status",
+           "'discontinued (after promo item_start)'",
+           f"ba WHERE {_in_band(0, 0.05)} AND first_start IS NOT NULL"),
+    _truth("uom_pack_mismatch", _ART, "article_id", "article_id", "'base_uom'", "base_uom",
+           "CASE WHEN v % 2 = 0 THEN 'CTN' ELSE 'PACK' END", f"ba WHERE {_in_band(0.05, 0.30)} AND packed"),
+    # The clean table's barcodes are right, so the digit before the change is the right one.
+    _truth("barcode_invalidity", _ART, "article_id", "article_id", "'barcode'", "barcode",
+           "left(barcode, 12) || ((right(barcode, 1)::INT + 1 + v % 9) % 10)",
+           f"ba WHERE {_in_band(0.43, 0.05)}"),
+    _truth("duplicate_near_duplicate", _ART, "'ARTDUP_' || article_id", "'ARTDUP_' || article_id",
+           "'article_id'", "article_id", "'ARTDUP_' || article_id", f"ba WHERE {_in_band(0.48, 0.04)}"),
+    _truth("completeness", _ART, "article_id", "article_id",
+           "CASE WHEN v % 2 = 0 THEN 'base_uom' ELSE 'tax_code' END",
+           "CASE WHEN v % 2 = 0 THEN base_uom ELSE tax_code END", "NULL",
+           f"ba WHERE {_in_band(0.52, 0.04)} AND CASE WHEN v % 2 = 0 THEN base_uom ELSE tax_code END IS NOT NULL"),
+    _truth("orphaned_cancelled_header", _HEAD, "promo_id", "promo_id", "'approval_status'", "approval_status",
+           "'cancelled (items still active)'", f"bh WHERE {_in_band(0, 0.25)} "
+           f"AND approval_status IN ('live', 'approved') AND last_end >= {TODAY}"),
+    _truth("completeness", _HEAD, "promo_id", "promo_id", "'approval_status'", "approval_status", "NULL",
+           f"bh WHERE {_in_band(0.25, 0.03)} AND approval_status IS NOT NULL"),
+    _truth("stale_status", _HEAD, "promo_id", "promo_id", "'approval_status'", "approval_status", "'live'",
+           f"bh WHERE {_in_band(0.28, 0.20)} AND header_end < {TODAY} "
+           "AND approval_status IS DISTINCT FROM 'live'")]) + ")"
+
 _CORRUPT = f"""{_INJECT},
 truth AS MATERIALIZED ({" UNION ALL ".join(_LOGS.values())}),
 x_article_master AS MATERIALIZED (
@@ -717,6 +790,10 @@ FROM worklist JOIN labels_ USING (error_type) GROUP BY ALL""")
     out["j13_corrupted_promotion_item"] = _with(_CORRUPT, "SELECT * FROM x_promotion_item")
     out["j13_corrupted_listing"] = _with(_CORRUPT, "SELECT * FROM x_listing")
 
+    out["j00_banded_log"] = _with(_BANDED, "SELECT * FROM banded_log")
+    # The defects that the corrupted tables show are those of the log.
+    out["j00_banded_defects"] = _with(
+        _BANDED, "SELECT DISTINCT error_type, record_id AS key FROM banded_log")
     out["k_actual_defects"] = _with(f"{_CORRUPT}, {_ACTUAL}", "SELECT * FROM actual")
     out["k_log_check"] = _with(f"{_CORRUPT}, {_ACTUAL}", """
 SELECT *, CASE WHEN missing = 0 AND unlogged = 0 THEN 'OK' ELSE 'MISMATCH' END AS status FROM (

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from shelfproof.functions import barcode, similarity, text
 from shelfproof.operators import (
+    bands,
     derive,
     fused,
     gate,
@@ -196,6 +197,18 @@ for _name in _STAGED:
     QUERIES[f"j13_corrupted_{_name}"] = partial(_corrupted_table, name=_name)
 
 
+@query("j00_banded_log")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return bands.Banded(sources.stage(_clean(spark, folder), _STAGED), as_of=AS_OF).log()
+
+
+@query("j00_banded_defects")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    clean = sources.stage(_clean(spark, folder), _STAGED)
+    dirty, log = bands.inject(clean, as_of=AS_OF)
+    return verify.actual_defects(sources.stage(dirty, _STAGED), log, AS_OF).distinct()
+
+
 @query("k_log_check")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     dirty, log = _corrupted(spark, folder)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfproof.functions import text
-from shelfproof.operators import derive, fused, gate, inject, score, triage, verify
+from shelfproof.operators import bands, derive, fused, gate, inject, score, triage, verify
 from shelfproof.operators.numbering import exact_sample, ordinals
 from shelfproof.sources import adapter
 from shelfproof.sources.tables import stage
@@ -92,6 +92,75 @@ def test_same_seed_same_defects(spark, corrupted):
     assert log.exceptAll(again).count() == 0 and again.count() == log.count()
 
 
+@pytest.fixture(scope="module")
+def banded(corrupted):
+    clean = corrupted[0]
+    dirty, log = bands.inject(clean, as_of=adapter.AS_OF)
+    return clean, stage(dirty, bands.BANDS), log.cache()
+
+
+def test_bands_are_disjoint_and_as_wide_as_the_rates():
+    for table, names in bands.BANDS.items():
+        found = bands.edges(table)
+        assert [name for name, _, _ in found] == list(names)
+        assert all(a[2] == b[1] for a, b in zip(found, found[1:])) and found[-1][2] <= 16 ** 7
+        assert all(abs((high - low) / 16 ** 7 - inject.RATES[name]) < 1e-6 for name, low, high in found)
+    assert sorted(sum(bands.BANDS.values(), ())) == sorted(inject.RATES)
+
+
+def test_banded_log_matches_data(banded):
+    _, dirty, log = banded
+    verify.require_match(dirty, log, adapter.AS_OF)
+    assert log.select("error_type").distinct().count() == 12
+    assert log.select("gt_id").distinct().count() == log.count()
+
+
+def test_banded_one_defect_per_article_and_header(banded):
+    _, _, log = banded
+    rows = log.where("table_name <> 'promotion_item'").groupBy("table_name", "record_id").count()
+    assert rows.agg(F.max("count")).first()[0] == 1
+    # Nor may the source of a copy have one.
+    copies = log.where("error_type = 'duplicate_near_duplicate'").select(F.col("old_value").alias("record_id"))
+    assert copies.join(log, "record_id").count() == 0
+
+
+def test_banded_changes_are_logged(banded):
+    clean, dirty, log = banded
+    logged = {r.record_id for r in log.select("record_id").collect()}
+    for name, key in (("article_master", "article_id"), ("promotion_header", "promo_id"),
+                      ("promotion_item", "promo_item_id")):
+        changed = {r[key] for r in dirty[name].exceptAll(clean[name]).select(key).collect()}
+        assert changed and changed <= logged
+        assert clean[name].join(dirty[name], key, "left_anti").count() == 0
+    pairs = clean["listing"].select("article_id", "store_group").exceptAll(
+        dirty["listing"].select("article_id", "store_group"))
+    items = dirty["promotion_item"].join(dirty["promotion_header"], "promo_id")
+    assert pairs.join(items, ["article_id", "store_group"], "left_anti").count() == 0
+
+
+def test_banded_plan_has_no_order_and_few_scans(banded):
+    """The log reads items once each for items, articles and headers; nothing is ranked or sampled."""
+    log = bands.Banded(banded[0], seed=8, as_of=adapter.AS_OF).log()  # another seed: not cached
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    assert plan.count("Relation [promo_item_id#") == 3
+
+
+def test_banded_edge_rows(spark, banded):
+    """Null keys are in no band, empty tables stay empty, a repeated row gets the same defect."""
+    clean = banded[0]
+    empty = clean.replace(**{n: clean[n].limit(0) for n in bands.BANDS})
+    dirty, log = bands.inject(empty, as_of=adapter.AS_OF)
+    assert log.count() == 0 and all(dirty[n].count() == 0 for n in bands.BANDS)
+    heads = clean["promotion_header"]
+    nulls = heads.withColumn("promo_id", F.lit(None).cast("string"))
+    made = bands.Banded(clean.replace(promotion_header=nulls)).headers()
+    assert made.where("defect is not null").count() == 0
+    twice = bands.Banded(clean.replace(promotion_header=heads.union(heads))).headers()
+    assert twice.groupBy("promo_id").agg(F.countDistinct(F.coalesce("defect", F.lit("-"))).alias("n")) \
+        .where("n > 1").count() == 0
+
+
 # A published scorecard, (type, truth, found, TP).
 PUBLISHED = [
     ("barcode_invalidity", 30, 30, 30), ("completeness", 24, 24, 24),
