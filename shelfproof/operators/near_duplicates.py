@@ -4,8 +4,9 @@ The score depends only on the set of tokens, so records with equal token sets fo
 and classes are compared instead of records. A group of copies, however large, is one class.
 
 Which classes can be similar (n = length of the joined tokens, t = allowed share of the distance):
-  A. One class, less some short tokens, is a subset of the other. As many of its rarest tokens
-     as may be missing, and one more, meet the tokens of the other: one of them is there.
+  A. One class, less some short tokens, is a subset of the other. Its rarest tokens, so many that
+     they are too long to be missing all, meet the tokens of the other: one of them is there.
+     A token too long to be missing is enough, such as a code that few others have.
   B. The texts differ by d <= k = floor(2t/(1-t) n) inserted or deleted characters (or blanks), n
      being the shorter one's length. An edit changes one character of the multiset of characters
      and three at most of the multiset of pairs of adjacent ones (blanks around tokens included;
@@ -206,13 +207,22 @@ def _edit_keys(classes: DataFrame) -> DataFrame:
 
 
 def _token_keys(classes: DataFrame) -> DataFrame:
-    """Path A: one of the rarest tokens, one more than may be missing, must be in the other."""
-    tokens = classes.select("category", "class", "miss", F.explode("tokens").alias("token"))
+    """Path A: of tokens that cannot all be missing, one must be in the other.
+
+    The missing ones and a blank each have k characters at most: a token that is longer is a
+    key alone, else the rarest are keys that together are longer. (They may be all tokens:
+    one is shared at least.)
+    """
+    tokens = classes.select("category", "class", "k", F.explode("tokens").alias("token"))
     frequency = tokens.groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
-    rarest_first = Window.partitionBy("class").orderBy("df", "token")
+    of_class = Window.partitionBy("class")
+    before = of_class.orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
     rare = (tokens.join(frequency, ["category", "token"])
-            .withColumn("rank", F.row_number().over(rarest_first))
-            .where(F.col("rank") <= F.col("miss") + 1))
+            .withColumn("size", F.length("token") + 1)
+            .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+            .where(F.col("before") <= F.col("k"))
+            .withColumn("most", F.max("size").over(of_class))
+            .where((F.col("most") <= F.col("k")) | (F.col("size") > F.col("k"))))
     return _listed(rare, 0, F.col("token"), RARE).unionByName(_listed(tokens, 0, F.col("token"), ALL))
 
 
@@ -247,10 +257,16 @@ def _all_candidates(keys: DataFrame, threshold: int) -> DataFrame:
 
 
 def _shared(keys: DataFrame, featured: DataFrame) -> DataFrame:
-    """(list, kind, x): entries of lists with two classes or more; most keys have one."""
+    """(list, kind, x): entries of lists with two classes or more that meet; most keys have one."""
     keys = cut_lineage(keys)
-    several = keys.groupBy("list").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
-        .where("low <> high").select("list")
+
+    def some(kind: int) -> Column:
+        return F.bool_or(F.col("kind") == kind)
+
+    several = keys.groupBy("list").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"),
+        (some(ALIKE) | (some(LESS) & some(WHOLE)) | (some(RARE) & some(ALL))).alias("meet")) \
+        .where("low <> high AND meet").select("list")
     return keys.join(several, "list", "left_semi").join(featured.select("class", "x"), "class") \
         .select("list", "kind", "x")
 

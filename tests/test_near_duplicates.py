@@ -203,3 +203,20 @@ def test_keys_are_few_and_rounds_go_on(spark, monkeypatch):
     df = spark.createDataFrame(rows, df.schema)
     named = sorted((r.record_id, r.first_match) for r in near_duplicates.flagged(df).collect())
     assert named == [e[:2] for e in expected(rows)]
+
+
+def test_a_code_is_a_key_alone(spark):
+    """Tokens that many descriptions share are no keys beside one too long to be missing."""
+    codes = [f"{i * 2654435761 % 2 ** 64:016x}" for i in range(1, 61)]
+    rows = [(f"A{i:03d}", f"large ring {i % 3} {code}", "c", None) for i, code in enumerate(codes)]
+    df = spark.createDataFrame(rows, "article_id string, article_description string, "
+                                     "merch_category string, parent_article_id string")
+    classes = near_duplicates._with_features(
+        near_duplicates.classes_of(near_duplicates.describe(df)), 97)
+    keys = near_duplicates._token_keys(classes)
+    assert keys.where(f"kind = {near_duplicates.RARE}").count() == len(rows)
+    shared = near_duplicates._shared(keys, classes)
+    assert shared.count() == 0
+    again = [*rows, ("A900", f"ring large {codes[5]}", "c", None), ("A901", "large ring 1", "c", None),
+             ("A902", "a b c d", "c", None), ("A903", "d c b a e", "c", None)]
+    assert actual(spark, [(a, d, c, p) for a, d, c, p in again]) == expected(again)
