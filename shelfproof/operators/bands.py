@@ -88,32 +88,49 @@ class Banded:
     seed: int = SEED
     as_of: date = REFERENCE_DATE
 
-    def items(self) -> DataFrame:
-        """Items with new_article, new_end, new_price (null: unchanged) and delisted."""
+    def _moved(self) -> DataFrame:
+        """Items with band, draw and new_article, which take no other table."""
+        band, draw = _band(self.seed, "promotion_item", "promo_item_id")
+        fake = F.concat(F.lit("ARTFAKE_"), "promo_item_id")
+        return self.clean["promotion_item"].withColumns({"band": band, "draw": draw}) \
+            .withColumn("new_article", _only("referential_integrity", F.lit(True), fake))
+
+    def _delisted(self) -> DataFrame:
+        """Pairs to delist: those of the listing's band that an item of a known article uses."""
+        t = self.clean
+        pair, _ = _band(self.seed, "listing", "article_id", "store_group")
+        return (self._moved().where(F.col("new_article").isNull()).select("promo_id", "article_id")
+                .join(t["promotion_header"].select("promo_id", "store_group"), "promo_id")
+                .where(pair.isNotNull()).select("article_id", "store_group")
+                .join(t["article_master"].select("article_id"), "article_id", "left_semi"))
+
+    def changed_items(self) -> DataFrame:
+        """Items with new_article, new_end and new_price (null: unchanged)."""
         t, col = self.clean, F.col
         headers = t["promotion_header"].select("promo_id", "store_group", "header_end")
         articles = t["article_master"].select("article_id", "cost_price", F.lit(True).alias("has_article"))
-        listed = t["listing"].select("article_id", "store_group", F.lit(True).alias("is_listed"))
-        band, draw = _band(self.seed, "promotion_item", "promo_item_id")
-        pair, _ = _band(self.seed, "listing", "article_id", "store_group")
         factor = 0.6 + 0.3 * (col("draw").cast("double") / float(16 ** 7))
         priced = col("mechanic").isin("fixed_price", "multibuy") & col("cost_price").isNotNull()
         late = F.date_add("header_end", (2 + col("draw") % 8).cast("int"))
-        return (t["promotion_item"].join(headers, "promo_id", "left").join(articles, "article_id", "left")
-                .join(listed, ["article_id", "store_group"], "left")
-                .withColumns({"band": band, "draw": draw, "pair": pair})
+        return (self._moved().join(headers, "promo_id", "left").join(articles, "article_id", "left")
                 .withColumns({
-                    "new_article": _only("referential_integrity", F.lit(True),
-                                         F.concat(F.lit("ARTFAKE_"), "promo_item_id")),
                     "new_end": _only("header_item_date_mismatch", col("header_end").isNotNull(), late),
-                    "new_price": _only("margin_breach", priced, F.round(col("cost_price") * factor, 2))})
+                    "new_price": _only("margin_breach", priced, F.round(col("cost_price") * factor, 2))}))
+
+    def items(self) -> DataFrame:
+        """`changed_items` with delisted."""
+        col = F.col
+        listed = self.clean["listing"].select("article_id", "store_group", F.lit(True).alias("is_listed"))
+        pair, _ = _band(self.seed, "listing", "article_id", "store_group")
+        return (self.changed_items().join(listed, ["article_id", "store_group"], "left")
+                .withColumn("pair", pair)
                 .withColumn("delisted", col("pair").isNotNull() & col("is_listed").isNotNull()
                             & col("has_article").isNotNull() & col("new_article").isNull()))
 
     def articles(self) -> DataFrame:
         """Articles with new_date, new_uom, new_barcode, nulled (null: unchanged) and copied."""
         col = F.col
-        uses = (self.items().where(col("new_article").isNull()).groupBy("article_id").agg(
+        uses = (self._moved().where(col("new_article").isNull()).groupBy("article_id").agg(
             F.min("item_start").alias("first_start"), F.max(col("mechanic") == "multibuy").alias("packed")))
         band, draw = _band(self.seed, "article_master", "article_id")
         even, code = col("draw") % 2 == 0, col("barcode")
@@ -177,7 +194,7 @@ class Banded:
     def tables(self) -> Tables:
         """The corrupted tables. Site and change-log rows stay as they are."""
         col = F.col
-        articles, items = self.articles(), self.items()
+        articles, items = self.articles(), self.changed_items()
         hit = F.coalesce(col("nulled"), F.lit(""))
         changed = articles.withColumns({
             "status": F.when(col("new_date").isNotNull(), "discontinued").otherwise(col("status")),
@@ -210,15 +227,18 @@ class Banded:
         status = (F.when(col("defect") == "orphaned_cancelled_header", "cancelled")
                   .when(col("defect") == "stale_status", "live")
                   .when(col("defect").isNull(), col("approval_status")))
-        gone = items.where("delisted").select("article_id", "store_group")
+        listing = self.clean["listing"]
+        pair, _ = _band(self.seed, "listing", "article_id", "store_group")
+        # Only pairs of the band are looked up.
+        left = listing.where(pair.isNull()).unionByName(listing.where(pair.isNotNull()).join(
+            self._delisted(), ["article_id", "store_group"], "left_anti"))
         return self.clean.replace(
             article_master=doubled.select(names["article_master"]),
             promotion_item=new_items.select(names["promotion_item"]).unionByName(
                 more.select(names["promotion_item"])),
             promotion_header=self.headers().withColumn("approval_status", status)
             .select(names["promotion_header"]),
-            listing=self.clean["listing"].join(gone, ["article_id", "store_group"], "left_anti")
-            .select(names["listing"]))
+            listing=left.select(names["listing"]))
 
     def log(self) -> DataFrame:
         """Truth rows: each table's in one scan of it."""
