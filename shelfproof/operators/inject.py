@@ -122,9 +122,10 @@ def _unlisted_pairs(x: Injection) -> DataFrame:
     picked = _known_items(x, x.pick(items, "promo_item_id", name))
     pairs = (picked.join(groups, "promo_id").select("article_id", "store_group").distinct()
              .join(x.clean["listing"], ["article_id", "store_group"], "left_semi"))
-    using = _known_items(x, items).join(groups, "promo_id")
-    return using.join(pairs, ["article_id", "store_group"], "left_semi") \
-                .select("promo_item_id", "article_id", "store_group")
+    # The pairs are of known articles, and few items use them: what is asked of each comes after.
+    using = items.join(groups, "promo_id").join(pairs, ["article_id", "store_group"], "left_semi") \
+                 .select("promo_item_id", "article_id", "store_group")
+    return _without(using, "promo_item_id", x.decide("referential_integrity"))
 
 
 def _late_ends(x: Injection) -> DataFrame:
@@ -153,9 +154,10 @@ def _packs(x: Injection) -> DataFrame:
     fake = x.decide("referential_integrity").select("promo_item_id", F.lit(True).alias("is_fake"))
     timed = x.decide("referential_timing").select("article_id", F.lit(True).alias("is_timed")) \
              .distinct()
-    pool = (items.join(fake, "promo_item_id", "left").join(timed, "article_id", "left")
-            .where(F.col("is_fake").isNotNull() | F.col("is_timed").isNull())
-            .select("promo_item_id", "article_id"))
+    # Written, as a sample reads its pool three times.
+    pool = cut_lineage(items.join(fake, "promo_item_id", "left").join(timed, "article_id", "left")
+                       .where(F.col("is_fake").isNotNull() | F.col("is_timed").isNull())
+                       .select("promo_item_id", "article_id"))
     units = x.clean["article_master"].select("article_id", F.col("base_uom").alias("old"))
     even = text.hash_slice(x.draw(name, "article_id"), 1) % 2 == 0
     return (_known_items(x, x.pick(pool, "promo_item_id", name)).join(units, "article_id")
@@ -227,9 +229,12 @@ def _bad_barcodes(x: Injection) -> DataFrame:
 
 
 def _untouched_articles(x: Injection) -> DataFrame:
-    taken = (x.decide("referential_timing"), x.decide("uom_pack_mismatch"),
-             x.decide("barcode_invalidity"))
-    return _without(x.clean["article_master"], "article_id", *taken)
+    """Written once: two samples read it three times each."""
+    if "untouched" not in x._done:
+        taken = (x.decide("referential_timing"), x.decide("uom_pack_mismatch"),
+                 x.decide("barcode_invalidity"))
+        x._done["untouched"] = cut_lineage(_without(x.clean["article_master"], "article_id", *taken))
+    return x._done["untouched"]
 
 
 def _copies(x: Injection) -> DataFrame:
@@ -365,6 +370,15 @@ def corrupted_articles(x: Injection) -> DataFrame:
     return changed.select(names).unionByName(x.decide("duplicate_near_duplicate").select(names))
 
 
+def _sampled(x: Injection, key: str, *names: str) -> Column:
+    """Whether a record may be among the samples: none of them has a higher hash than its last."""
+    def reached(name: str) -> Column:
+        h = text.keyed_hash(x.seed, name, F.col(key))
+        return F.coalesce(h <= x.decide(name).agg(F.max(h)).scalar(), F.lit(False))
+
+    return reduce(Column.__or__, map(reached, names))
+
+
 def corrupted_items(x: Injection) -> DataFrame:
     parts = [x.decide("referential_integrity").select("promo_item_id", "new_article"),
              x.decide("header_item_date_mismatch").select("promo_item_id", "new_end"),
@@ -373,11 +387,16 @@ def corrupted_items(x: Injection) -> DataFrame:
         .groupBy("promo_item_id").agg(*[F.max(c).alias(c) for c in
                                         ("new_article", "new_end", "new_price")])
     items = x.clean["promotion_item"].unionByName(_appended_items(x))
-    return items.join(changes, "promo_item_id", "left").withColumns({
+    # Only the sampled items, about a sixth, are joined with the changes.
+    sampled = _sampled(x, "promo_item_id", "referential_integrity", "header_item_date_mismatch",
+                       "margin_breach")
+    names = TABLE_SCHEMAS["promotion_item"].names
+    changed = items.where(sampled).join(changes, "promo_item_id", "left").withColumns({
         "article_id": F.coalesce("new_article", "article_id"),
         "item_end": F.coalesce("new_end", "item_end"),
         "promo_price": F.coalesce("new_price", "promo_price"),
-    }).select(TABLE_SCHEMAS["promotion_item"].names)
+    })
+    return changed.select(names).unionByName(items.where(~sampled).select(names))
 
 
 def corrupted_headers(x: Injection) -> DataFrame:

@@ -85,7 +85,8 @@ def article_master(part: DataFrame, clean: bool = False) -> DataFrame:
     return _ordered(out, "article_master")
 
 
-def promotion_header(orders: DataFrame, customer: DataFrame, clean: bool = False) -> DataFrame:
+def _keyed_headers(orders: DataFrame, customer: DataFrame, clean: bool) -> DataFrame:
+    """Headers with the number of their order, which is narrower than their id in joins."""
     o = F.col("o_orderkey")
     weeks = (F.when(o % 100 < 70, 1).when(o % 100 < 90, 2).when(o % 100 < 96, 3).otherwise(4))
     status = derive.lifecycle_status(F.col("header_start"), F.col("header_end"), AS_OF, o % 5 < 2)
@@ -96,7 +97,7 @@ def promotion_header(orders: DataFrame, customer: DataFrame, clean: bool = False
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey")), "o_orderdate", weeks)
     out = (
         out.select(
-            text.padded("PRM", o, 8).alias("promo_id"),
+            "o_orderkey", text.padded("PRM", o, 8).alias("promo_id"),
             F.concat_ws(" ", F.col("o_orderpriority"),
                         F.year("header_start").cast("string")).alias("promo_theme"),
             "header_start", "header_end",
@@ -104,18 +105,26 @@ def promotion_header(orders: DataFrame, customer: DataFrame, clean: bool = False
             status.alias("approval_status"),
             F.col("c_name").alias("created_by"),
             F.date_sub("header_start", (o % 31).cast("int")).alias("created_date")))
-    return _ordered(out, "promotion_header")
+    return out
+
+
+def promotion_header(orders: DataFrame, customer: DataFrame, clean: bool = False) -> DataFrame:
+    return _ordered(_keyed_headers(orders, customer, clean), "promotion_header")
+
+
+def _placed(lines: DataFrame, header: DataFrame) -> DataFrame:
+    """Lines with their header, by the order's number."""
+    headers = header.select(F.col("o_orderkey").alias("l_orderkey"), "header_start", "header_end",
+                            "store_group")
+    return lines.join(headers, "l_orderkey") \
+        .withColumn("promo_id", text.padded("PRM", F.col("l_orderkey"), 8))
 
 
 def _lines(lineitem: DataFrame, part: DataFrame, header: DataFrame) -> DataFrame:
     """Every line with its part and header."""
-    lines = (lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"),
-                             "l_suppkey", F.col("l_quantity").cast("long").alias("quantity"))
-             .withColumn("promo_id", text.padded("PRM", F.col("l_orderkey"), 8)))
-    return (lines
-            .join(part.select("p_partkey", "p_type", "p_retailprice"), "p_partkey")
-            .join(header.select("promo_id", "header_start", "header_end", "store_group"),
-                  "promo_id"))
+    lines = lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"),
+                            "l_suppkey", F.col("l_quantity").cast("long").alias("quantity"))
+    return _placed(lines.join(part.select("p_partkey", "p_type", "p_retailprice"), "p_partkey"), header)
 
 
 def promotion_item(lines: DataFrame, clean: bool = False) -> DataFrame:
@@ -150,13 +159,16 @@ def promotion_item(lines: DataFrame, clean: bool = False) -> DataFrame:
     return _ordered(out, "promotion_item")
 
 
-def listing(lines: DataFrame, clean: bool = False) -> DataFrame:
+def listing(lineitem: DataFrame, part: DataFrame, header: DataFrame, clean: bool = False) -> DataFrame:
+    """Pairs of group and article that a line has; pairs are fewer than lines when they meet the parts."""
     k, o = F.col("p_partkey"), F.col("l_orderkey")
     if clean:
         kept = _status(k) != "discontinued"
     else:  # lines whose item points at an unknown article list nothing
         kept = (((k + o) % 20 != 0) | (k % 3 != 0)) & ((o + F.col("l_linenumber")) % 50 != 0)
-    out = lines.where(kept).select("store_group", "p_partkey").distinct().select(
+    lines = lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+    pairs = _placed(lines.where(kept), header).select("store_group", "p_partkey").distinct()
+    out = pairs.join(part.select("p_partkey"), "p_partkey", "left_semi").select(
         "store_group",
         text.padded("ART", k, 8).alias("article_id"),
         F.date_add(F.lit(date(1994, 1, 1)), (k % 300).cast("int")).alias("valid_from"),
@@ -171,14 +183,15 @@ def tables_from(spark: SparkSession, folder: str, clean: bool = False) -> Tables
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     @cache
-    def lines() -> DataFrame:
-        return _lines(read("lineitem"), read("part"), tables["promotion_header"])
+    def headers() -> DataFrame:
+        return _keyed_headers(read("orders"), read("customer"), clean)
 
     tables = Tables({
         "article_master": lambda: article_master(read("part"), clean),
-        "promotion_header": lambda: promotion_header(read("orders"), read("customer"), clean),
-        "promotion_item": lambda: promotion_item(lines(), clean),
-        "listing": lambda: listing(lines(), clean),
+        "promotion_header": lambda: _ordered(headers(), "promotion_header"),
+        "promotion_item": lambda: promotion_item(
+            _lines(read("lineitem"), read("part"), headers()), clean),
+        "listing": lambda: listing(read("lineitem"), read("part"), headers(), clean),
         "article_site": lambda: derive.article_site(
             tables["listing"], tables["article_master"]),
         "change_log": lambda: derive.change_log(
