@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfproof.functions import text
 from shelfproof.operators import bands, derive, fused, gate, inject, score, triage, verify
 from shelfproof.operators.numbering import exact_sample, ordinals
+from shelfproof.schema import Tables
 from shelfproof.sources import adapter
 from shelfproof.sources.tables import stage
 
@@ -235,3 +236,65 @@ def test_derived_items_are_valid(spark):
     made = t.replace(promotion_item=items.drop("effective_unit_price"))
     for key in ("v01", "v02", "v05", "v06", "v07", "v08", "v09"):
         assert gate.assertion(made, key).first().bad_count == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_are_joined_narrow(spark, tmp_path):
+    """Pairs of the listing meet the parts when they are distinct; lines meet headers by number."""
+    spark.createDataFrame([(1, 7, "2020-01-01 00:00:00", "1-URGENT")], "o_orderkey long, o_custkey long, "
+                          "day string, o_orderpriority string").selectExpr(
+        "*", "timestamp(day) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, "c", 3)], "c_custkey long, c_name string, c_nationkey int") \
+        .write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(5, "n", "b", "LARGE", 1, 9.0)], "p_partkey long, p_name string, p_brand string, "
+                          "p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, 5, 2, 1, 3.0), (1, 6, 2, 2, 3.0), (2, 5, 2, 1, 3.0), (None, 5, 2, 1, 3.0),
+                           (1, 5, 2, 3, 3.0)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = adapter.tables_from(spark, str(tmp_path), clean=True)
+    assert [tuple(r)[:2] for r in t["listing"].collect()] == [("SG_03", "ART00000005")]
+    assert sorted(r.promo_item_id for r in t["promotion_item"].collect()) == [
+        "PIT00000001_1_5_2_3", "PIT00000001_3_5_2_3"]
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"  # a semi join with a small table moves down
+    kept = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        plan = _plan(adapter.tables_from(spark, str(tmp_path), clean=True)["listing"])
+    finally:
+        spark.conf.set(broadcast, kept)
+    assert plan.index("Join LeftSemi") < plan.index("Aggregate") < plan.index("Join Inner")
+    # No join on a text.
+    assert "promo_id" not in "".join(line for line in _plan(t["promotion_item"]).splitlines() if "Join" in line)
+
+
+def test_banded_decisions_ask_few_tables(banded):
+    x = bands.Banded(banded[0], as_of=adapter.AS_OF)
+    assert _plan(x.articles()).count("Join ") == 1
+    assert _plan(x.tables()["promotion_item"].where("promo_item_id NOT LIKE 'PITTOB%'")).count("listing") == \
+        _plan(x.added()).count("listing")
+
+
+def test_only_sampled_items_meet_their_changes(spark):
+    """Items beyond the samples pass without the join; a repeated or null key keeps its rows."""
+    items = spark.range(400).selectExpr(
+        "CASE WHEN id < 398 THEN concat('I', id) WHEN id = 398 THEN 'I1' END AS promo_item_id",
+        "'P' AS promo_id", "'A' AS article_id", "'fixed_price' AS mechanic", "2.0D AS promo_price",
+        "CAST(NULL AS DOUBLE) AS discount_value", "CAST(NULL AS INT) AS multibuy_qty",
+        "DATE'2020-01-01' AS item_start", "DATE'2020-01-07' AS item_end")
+    x = inject.Injection(Tables({"promotion_item": items}))
+    some = items.where("promo_item_id IN ('I5', 'I1')").select("promo_item_id")
+    x._done = {
+        "referential_integrity": some.selectExpr("promo_item_id", "'F' AS new_article"),
+        "header_item_date_mismatch": some.limit(0).selectExpr("promo_item_id", "current_date() AS new_end"),
+        "margin_breach": some.limit(0).selectExpr("promo_item_id", "1.0D AS new_price"),
+        "tobacco_floor_breach": some.limit(0).selectExpr(
+            "promo_item_id", "'P' AS promo_id", "'A' AS article_id", "1.0D AS promo_price",
+            "current_date() AS header_start", "current_date() AS header_end")}
+    got = inject.corrupted_items(x)
+    assert got.count() == 400
+    assert sorted(r.promo_item_id for r in got.where("article_id = 'F'").collect()) == ["I1", "I1", "I5"]
+    assert _plan(got).startswith("Union")
