@@ -49,32 +49,37 @@ def _clean(spark: SparkSession, folder: str) -> Tables:
 
 
 # The injection run is a job of its own: it writes its input and samples once per application
-# and the queries on its results read those.
+# and the queries on its results read those. Each table is written when a query first needs it.
 _INJECTIONS: dict[tuple[str, str], inject.Injection] = {}
-_CORRUPTED: dict[tuple[str, str], tuple[Tables, DataFrame]] = {}
+_CORRUPTED: dict[tuple[str, str], Tables] = {}
 _STAGED = ("article_master", "promotion_header", "promotion_item", "listing")
 
 
 def _injection(spark: SparkSession, folder: str) -> inject.Injection:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _INJECTIONS:
-        clean = sources.stage(_clean(spark, folder), _STAGED)
+        clean = sources.stage_when_asked(_clean(spark, folder), _STAGED)
         _INJECTIONS[key] = inject.Injection(clean, as_of=AS_OF)
     return _INJECTIONS[key]
 
 
-def _corrupted(spark: SparkSession, folder: str) -> tuple[Tables, DataFrame]:
+def _corrupted(spark: SparkSession, folder: str) -> Tables:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _CORRUPTED:
         x = _injection(spark, folder)
         dirty = x.clean.replace(
-            article_master=inject.corrupted_articles(x), listing=inject.corrupted_listing(x),
-            promotion_item=inject.corrupted_items(x),
-            promotion_header=inject.corrupted_headers(x))
-        _CORRUPTED[key] = (sources.stage(dirty, _STAGED), inject.truth_log(x))
+            article_master=lambda: inject.corrupted_articles(x),
+            listing=lambda: inject.corrupted_listing(x),
+            promotion_item=lambda: inject.corrupted_items(x),
+            promotion_header=lambda: inject.corrupted_headers(x))
+        _CORRUPTED[key] = sources.stage_when_asked(dirty, _STAGED)
     return _CORRUPTED[key]
 
 
+def _truth(spark: SparkSession, folder: str) -> DataFrame:
+    return inject.truth_log(_injection(spark, folder))
+
+
 # ---- the twelve rules and the worklist --------------------------------------------------
 
 def _rule(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -190,7 +195,7 @@ for _number, _names in enumerate([
 
 
 def _corrupted_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return _corrupted(spark, folder)[0][name]
+    return _corrupted(spark, folder)[name]
 
 
 for _name in _STAGED:
@@ -211,13 +216,13 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("k_log_check")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    dirty, log = _corrupted(spark, folder)
+    dirty, log = _corrupted(spark, folder), _truth(spark, folder)
     return verify.log_check(dirty, log, AS_OF)
 
 
 @query("k_actual_defects")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    dirty, log = _corrupted(spark, folder)
+    dirty, log = _corrupted(spark, folder), _truth(spark, folder)
     return verify.actual_defects(dirty, log, AS_OF).distinct()
 
 
@@ -231,11 +236,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("k13_log_size")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return verify.log_size(_corrupted(spark, folder)[1])
+    return verify.log_size(_truth(spark, folder))
 
 
 def _scorecard(spark: SparkSession, folder: str) -> DataFrame:
-    dirty, log = _corrupted(spark, folder)
+    dirty, log = _corrupted(spark, folder), _truth(spark, folder)
     return score.scorecard(fused.worklist(dirty, AS_OF), dirty["promotion_item"], log)
 
 
@@ -447,7 +452,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("d15_log_counts")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return triage.log_counts(_corrupted(spark, folder)[1])
+    return triage.log_counts(_truth(spark, folder))
 
 
 # ---- functions --------------------------------------------------------------------------
@@ -568,7 +573,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """The corrupted tables and the truth log written; the log read back."""
     path = _new_folder(spark, "out")
-    dirty, log = _corrupted(spark, folder)
+    dirty, log = _corrupted(spark, folder), _truth(spark, folder)
     sources.write_tables(Tables({name: dirty[name] for name in TABLE_SCHEMAS}), path)
     sources.write_output(log, path, "ground_truth")
     return sources.read_output(spark, path, "ground_truth")

@@ -144,7 +144,7 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._frames)
 
-    def replace(self, **frames: DataFrame) -> Tables:
+    def replace(self, **frames: DataFrame | Callable[[], DataFrame]) -> Tables:
         return Tables({**self._frames, **frames})
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from functools import cache, partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -159,3 +160,12 @@ def stage(tables: Tables, names: Iterable[str]) -> Tables:
     folder = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
     write_tables(Tables(frames), folder)
     return tables.replace(**read_tables(spark, folder, names=frames))
+
+
+def stage_when_asked(tables: Tables, names: Iterable[str]) -> Tables:
+    """`stage`, each table when it is first asked for: a job that needs one writes one."""
+    def one(name: str) -> DataFrame:
+        return stage(tables, [name])[name]
+
+    # Cached, so that tables made of these by `replace` share what is written.
+    return tables.replace(**{name: cache(partial(one, name)) for name in names})
