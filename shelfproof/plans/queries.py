@@ -25,7 +25,7 @@ from shelfproof.operators import (
     verify,
 )
 from shelfproof.schema import EXCEPTION_SCHEMA, TABLE_SCHEMAS, Tables
-from shelfproof.session import shared_folder
+from shelfproof.session import shared_folder, written
 from shelfproof.sources import adapter, runs, tables as sources
 
 AS_OF = adapter.AS_OF
@@ -661,7 +661,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("d17_distinct_records")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct records per error type, exact, and whether merged sketches of two parts agree."""
-    work = _worklist(spark, folder).select("error_type", "record_id")
+    # Read three times below.
+    work = written(_worklist(spark, folder).select("error_type", "record_id"))
     part = F.pmod(F.xxhash64("record_id"), F.lit(2))
     halves = [triage.record_sketches(work.where(part == i)) for i in (0, 1)]
     merged = triage.merged_records(halves[0].unionByName(halves[1]))

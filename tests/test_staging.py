@@ -1,6 +1,8 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfproof.plans import queries
 from shelfproof.sources import tables as sources
@@ -61,3 +63,19 @@ def test_the_log_needs_no_corrupted_table(given, staged):
     assert log and set(staged.values()) == {1}
     assert given("k_log_check").where("status <> 'OK'").isEmpty()
     assert set(staged.values()) == {2}
+
+
+def test_distinct_records_read_the_worklist_once(spark, monkeypatch):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    @F.udf(T.StringType())
+    def counted(x):
+        evaluated.add(1)
+        return x
+
+    work = spark.range(100).select(F.lit("stale_status").alias("error_type"),
+                                   counted(F.concat(F.lit("P"), F.col("id") % 50)).alias("record_id"))
+    monkeypatch.setattr(queries, "_worklist", lambda *_: work)
+    got = queries.QUERIES["d17_distinct_records"](spark, "made").collect()
+    assert [tuple(r) for r in got] == [("stale_status", 50, True)]
+    assert evaluated.value == 100
