@@ -162,3 +162,23 @@ def test_plan_has_one_item_scan_and_no_nested_loop(make):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     filtered = t["promotion_item"].where(F.col("promo_id").isNull())
     assert filtered.count() > 0  # the null keys above are really there
+
+
+def test_items_move_once_by_article(spark, make):
+    t = messy(make)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fused.enrich(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    by = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    # Items by header and by article; headers, articles and listings once each.
+    assert len(by) == 5 and not any("store_group" in keys for keys in by)
+
+
+def test_listing_rows_give_items_as_a_join_does(make):
+    t = make(items=[{}, {"promo_item_id": "I2", "article_id": "A2"}, {"promo_item_id": "I3", "promo_id": None}],
+             listing=[{}, {}, {"article_id": "A2", "store_group": None}, {"valid_from": None}])
+    got = [(r.promo_item_id, r.is_listed) for r in fused.enrich(t).collect()]
+    assert sorted(got) == [("I1", True), ("I1", True), ("I2", False), ("I3", False)]
