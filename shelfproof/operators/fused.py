@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfproof.functions import barcode, text
 from shelfproof.operators import near_duplicates, rules
-from shelfproof.schema import IMPACT, REFERENCE_DATE, SEVERITY, Tables
+from shelfproof.schema import IMPACT, REFERENCE_DATE, SEVERITY, TRUTH_UNIT, Tables
 
 
 def enrich(tables: Tables) -> DataFrame:
@@ -81,10 +81,11 @@ def item_findings(as_of: date) -> list[tuple[str, Column, Column]]:
 
 
 def emit(df: DataFrame, table: str, key: str, group: Column,
-         findings: list[tuple[str, Column, Column]]) -> DataFrame:
+         findings: list[tuple[str, Column, Column]], units: bool = False) -> DataFrame:
     """One output row per condition that holds.
 
     Only the rules' numbers are exploded; texts are built after that, for the rows that remain.
+    `units` adds the key that the truth log counts by.
     """
     hits = F.array_compact(F.array(*[F.when(holds, F.lit(n))
                                      for n, (_, holds, _) in enumerate(findings)]))
@@ -96,50 +97,59 @@ def emit(df: DataFrame, table: str, key: str, group: Column,
     text_of = F.lit(None).cast("string")
     for n, (_, _, description) in enumerate(findings):
         text_of = F.when(F.col("rule") == n, description).otherwise(text_of)
+    unit = F.col(key)
+    for n, name in enumerate(names):
+        if name in TRUTH_UNIT:
+            unit = F.when(F.col("rule") == n, F.coalesce(TRUTH_UNIT[name], key)).otherwise(unit)
     return (df.withColumn("rule", F.explode(hits))
             .select(F.lit(table).alias("table_name"), F.col(key).alias("record_id"),
                     constant(names).alias("error_type"),
                     constant([SEVERITY[name] for name in names]).alias("severity"),
                     constant([IMPACT[name] for name in names]).alias("downstream_impact"),
-                    text_of.alias("description"), group.alias("store_group")))
+                    text_of.alias("description"), group.alias("store_group"),
+                    *[unit.alias("unit")] * units))
 
 
-def item_exceptions(enriched: DataFrame, as_of: date = REFERENCE_DATE) -> DataFrame:
+def item_exceptions(enriched: DataFrame, as_of: date = REFERENCE_DATE,
+                    units: bool = False) -> DataFrame:
     return emit(enriched, "promotion_item", "promo_item_id", F.col("store_group"),
-                item_findings(as_of))
+                item_findings(as_of), units)
 
 
-def article_exceptions(articles: DataFrame) -> DataFrame:
+def article_exceptions(articles: DataFrame, units: bool = False) -> DataFrame:
     say = rules.sentence
     return emit(articles, "article_master", "article_id", F.lit(None).cast("string"), [
         ("barcode_invalidity", ~barcode.is_valid(F.col("barcode")),
          say("barcode_invalidity", "article_id", "barcode")),
         ("completeness", rules.any_null(rules.REQUIRED_ARTICLE),
          say("completeness", "article_id", rules.missing_names(rules.REQUIRED_ARTICLE))),
-    ])
+    ], units)
 
 
-def duplicate_exceptions(articles: DataFrame, threshold: int = 97) -> DataFrame:
+def duplicate_exceptions(articles: DataFrame, threshold: int = 97,
+                         units: bool = False) -> DataFrame:
     return emit(near_duplicates.flagged(articles, threshold), "article_master", "record_id",
                 F.lit(None).cast("string"),
                 [("duplicate_near_duplicate", F.lit(True),
                   rules.sentence("duplicate_near_duplicate", "record_id", "first_match",
-                                 text.whole(F.col("score"))))])
+                                 text.whole(F.col("score"))))], units)
 
 
-def header_exceptions(headers: DataFrame, as_of: date = REFERENCE_DATE) -> DataFrame:
+def header_exceptions(headers: DataFrame, as_of: date = REFERENCE_DATE,
+                      units: bool = False) -> DataFrame:
     say = rules.sentence
     return emit(headers, "promotion_header", "promo_id", F.col("store_group"), [
         ("completeness", F.col("approval_status").isNull(), say("completeness_header", "promo_id")),
         ("stale_status",
          (F.col("approval_status") == "live") & (F.col("header_end") < F.lit(as_of)),
          say("stale_status", "promo_id", "header_end")),
-    ])
+    ], units)
 
 
-def worklist(tables: Tables, as_of: date = REFERENCE_DATE, threshold: int = 97) -> DataFrame:
-    """All exceptions of the twelve rules, with store group."""
-    return (item_exceptions(enrich(tables), as_of)
-            .unionByName(article_exceptions(tables["article_master"]))
-            .unionByName(duplicate_exceptions(tables["article_master"], threshold))
-            .unionByName(header_exceptions(tables["promotion_header"], as_of)))
+def worklist(tables: Tables, as_of: date = REFERENCE_DATE, threshold: int = 97,
+             units: bool = False) -> DataFrame:
+    """All exceptions of the twelve rules, with store group; with `unit`, for scoring, if asked."""
+    return (item_exceptions(enrich(tables), as_of, units)
+            .unionByName(article_exceptions(tables["article_master"], units))
+            .unionByName(duplicate_exceptions(tables["article_master"], threshold, units))
+            .unionByName(header_exceptions(tables["promotion_header"], as_of, units)))

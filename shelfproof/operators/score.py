@@ -17,14 +17,20 @@ def truth_type(error_type: Column) -> Column:
 
 
 def found_keys(exceptions: DataFrame, items: DataFrame) -> DataFrame:
-    """Exceptions as (error_type, key) in the truth log's names and counting unit."""
+    """Exceptions as (error_type, key) in the truth log's names and counting unit.
+
+    Exceptions that say their `unit` need not meet the items again.
+    """
+    kind = truth_type(F.col("error_type")).alias("error_type")
+    if "unit" in exceptions.columns:
+        return exceptions.select(kind, F.col("unit").alias("key"))
     lookup = items.select(F.col("promo_item_id").alias("record_id"), "article_id", "promo_id")
     unit = F.col("record_id")
-    for kind, column in TRUTH_UNIT.items():
-        unit = F.when(F.col("error_type") == kind, F.coalesce(column, "record_id")).otherwise(unit)
+    for name, column in TRUTH_UNIT.items():
+        unit = F.when(F.col("error_type") == name, F.coalesce(column, "record_id")).otherwise(unit)
     # One join for all rows: the worklist is then evaluated once.
     return exceptions.select("error_type", "record_id").join(lookup, "record_id", "left") \
-        .select(truth_type(F.col("error_type")).alias("error_type"), unit.alias("key"))
+        .select(kind, unit.alias("key"))
 
 
 def compare(found: DataFrame, truth: DataFrame) -> DataFrame:

@@ -241,7 +241,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 def _scorecard(spark: SparkSession, folder: str) -> DataFrame:
     dirty, log = _corrupted(spark, folder), _truth(spark, folder)
-    return score.scorecard(fused.worklist(dirty, AS_OF), dirty["promotion_item"], log)
+    return score.scorecard(fused.worklist(dirty, AS_OF, units=True), dirty["promotion_item"], log)
 
 
 QUERIES["r_scorecard"] = _scorecard

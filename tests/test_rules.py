@@ -1,9 +1,11 @@
+import re
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfproof.operators import fused, gate, rules
+from shelfproof.operators import fused, gate, rules, score
+from shelfproof.plans import queries
 from tests.conftest import AS_OF, HEADER
 
 DAY = timedelta(days=1)
@@ -182,3 +184,20 @@ def test_listing_rows_give_items_as_a_join_does(make):
              listing=[{}, {}, {"article_id": "A2", "store_group": None}, {"valid_from": None}])
     got = [(r.promo_item_id, r.is_listed) for r in fused.enrich(t).collect()]
     assert sorted(got) == [("I1", True), ("I1", True), ("I2", False), ("I3", False)]
+
+
+def test_worklist_says_what_the_truth_log_counts(make):
+    t = messy(make)
+    said = score.found_keys(fused.worklist(t, AS_OF, units=True), t["promotion_item"])
+    looked_up = score.found_keys(fused.worklist(t, AS_OF), t["promotion_item"])
+    assert sorted(map(str, said.collect())) == sorted(map(str, looked_up.collect()))
+    assert fused.worklist(t, AS_OF, units=True).drop("unit").schema == fused.worklist(t, AS_OF).schema
+
+
+def test_scorecard_reads_the_items_once(spark, make, monkeypatch):
+    t = messy(make)
+    log = spark.createDataFrame([], "record_id string, error_type string")
+    monkeypatch.setattr(queries, "_corrupted", lambda *_: t)
+    monkeypatch.setattr(queries, "_truth", lambda *_: log)
+    plan = queries.QUERIES["r_scorecard"](spark, "made")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"LogicalRDD \[[^]]*promo_item_id|LocalRelation \[[^]]*promo_item_id", plan)) == 1
