@@ -1,12 +1,18 @@
 """The main text of web pages, by markup and by differences between neighbouring pages.
 
 A page is cut into blocks of text. Blocks inside elements that are menus, headers, footers, sidebars,
-notices, adverts, forms, comments and the like are dropped; blocks inside the article element
-are kept. What the markup leaves open (pages without an article element) is decided by the
-neighbours: pages are ordered by URL path within their host, a page's open blocks are aligned
-with those of the page before and the page after by longest common subsequence, and blocks
-that are shared are deleted. Neighbours that share four fifths of the open text or more are copies
-and decide nothing.
+notices, adverts, forms, comments and the like are dropped. Of what is left, the blocks of the article
+element, or, without one, all blocks, are candidates. Every page is then compared with its neighbours:
+pages are ordered by URL path within their host, and a page's blocks are aligned with those of the page
+before and the page after by longest common subsequence. A candidate that is shared is deleted if it
+stands in no article, neither here nor at the neighbour. If an article holds it, it may be text that articles
+have in common, so it is deleted only if it also stands on four fifths of the host's different pages,
+five at least. A host's pages with equal blocks are one page, at the least of their paths, so a run of copies
+has different neighbours. Neighbours that share four fifths of a page's candidate text or more are
+nearly copies and decide nothing.
+
+Blocks are aligned by their hashes, and the texts are read again from the pages in the end, so no text
+is written on the way; it is shuffled only where the deletions are too many to be sent to all tasks.
 
 The order is by ranges, so a host with a third of all pages is spread over many tasks; the two
 rows at each range's ends are joined up afterwards.
@@ -46,7 +52,11 @@ NOISE_WORDS = set(
     "replies respond widget widgets pagination pager toolbar skip copyright contentinfo "
     "complementary dialog hidden paywall".split())
 WRAPPERS = set("has with no without wrapper container layout".split())
+#: A block stands outside of all articles, in an article that is not the page's main one, or in that one.
+OUTSIDE, ELSEWHERE, ARTICLE = 0, 1, 2
 COPY = 0.8
+#: A line of articles is the site's if this share of its different pages has it, and it has so many.
+SITE_SHARE, SITE_PAGES = 0.8, 5
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)([^>]*)(?:>|\Z)|<[!?][^>]*>",
@@ -77,14 +87,29 @@ def _words(attributes: str) -> set[str]:
 
 @dataclass
 class Page:
-    """Blocks in page order: those of the article, or, without one, those left open."""
+    """Blocks in page order that the markup does not drop, and where each stands."""
 
-    blocks: list[str]
-    open: bool
+    seen: list[str]
+    place: list[int]  # OUTSIDE, ELSEWHERE or ARTICLE
+
+    @property
+    def open(self) -> bool:
+        """Whether no article element holds text."""
+        return ARTICLE not in self.place
+
+    @property
+    def blocks(self) -> list[str]:
+        """The candidates for the main text."""
+        return [self.seen[i] for i in candidates(self.place)]
+
+
+def candidates(place: list[int]) -> list[int]:
+    """Positions of the article's blocks, or, without an article, of all."""
+    return [i for i, p in enumerate(place) if p == ARTICLE] if ARTICLE in place else list(range(len(place)))
 
 
 def read(source: str | None) -> Page:
-    """The candidates for a page's main text."""
+    """The blocks of a page that its markup does not drop."""
     stack: list[tuple[str, bool]] = []  # open elements; whether each began what is dropped
     dropped = 0
     article = None  # depth and number of the article that is open
@@ -145,18 +170,28 @@ def read(source: str | None) -> Page:
     if not dropped and at < len(source):
         texts.append(source[at:])
     close()
+    best = 0
     if count:
         sizes = [0] * (count + 1)
         for number, text in blocks:
             sizes[number] += len(text)
         best = max(range(1, count + 1), key=lambda n: (sizes[n], -n))
-        if sizes[best]:
-            return Page([t for n, t in blocks if n == best], False)
-    return Page([t for _, t in blocks], True)
+    return Page([t for _, t in blocks],
+                [OUTSIDE if not n else ARTICLE if n == best else ELSEWHERE for n, _ in blocks])
 
 
 def aligned(x: list[int], y: list[int]) -> list[int]:
     """Positions in x of a longest common subsequence of x and y."""
+    if x == y:
+        return list(range(len(x)))
+    common = set(x) & set(y)
+    if not common:
+        return []
+    at = [i for i, v in enumerate(x) if v in common]
+    return [at[i] for i in _aligned([x[i] for i in at], [v for v in y if v in common])]
+
+
+def _aligned(x: list[int], y: list[int]) -> list[int]:
     places: dict[int, int] = {}
     for j, v in enumerate(y):
         places[v] = places.get(v, 0) | 1 << j
@@ -181,8 +216,13 @@ def aligned(x: list[int], y: list[int]) -> list[int]:
     return out[::-1]
 
 
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("row", pa.int64()), ("host", pa.string()),
-                     ("path", pa.string()), ("blocks", pa.list_(pa.string())), ("open", pa.list_(pa.int64()))])
+_PARSED = pa.schema([("page_id", pa.int64()), ("row", pa.int64()), ("host", pa.string()), ("path", pa.string()),
+                     ("hashes", pa.list_(pa.int64())), ("place", pa.list_(pa.int8())),
+                     ("sizes", pa.list_(pa.int32()))])
+_READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("row", pa.int64()),
+                   ("blocks", pa.list_(pa.string()))])
+_SHARED = pa.schema([("row", pa.int64()), ("host", pa.string()), ("position", pa.int32()), ("hash", pa.int64()),
+                     ("sure", pa.bool_())])
 
 
 def _address(url: str | None) -> tuple[str, str]:
@@ -190,18 +230,34 @@ def _address(url: str | None) -> tuple[str, str]:
     return (m[1].lower(), m[2].rstrip("/")) if m else ("", (url or ""))
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Lists of id, URL, host, path, what is read of a page, its hashes and its name: the host's copies share one."""
     for batch in batches:
         for low in range(0, batch.num_rows, 500):
-            part = batch.slice(low, 500)
-            rows = []
+            part, out = batch.slice(low, 500), []
             for page_id, url, source in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "html"))):
-                page = read(source)
-                hashes = [xxhash.xxh3_64_intdigest(b) - 2 ** 63 for b in page.blocks] if page.open else []
-                name = xxhash.xxh3_64_intdigest(repr((page_id, url, source))) - 2 ** 63
-                rows.append((page_id, url, name, *_address(url), page.blocks, hashes))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows), _PARSED)], schema=_PARSED)
+                page, (host, path) = read(source), _address(url)
+                hashes = [xxhash.xxh3_64_intdigest(b) - 2 ** 63 for b in page.seen]
+                name = xxhash.xxh3_64_intdigest(repr((host, hashes, page.place))) - 2 ** 63
+                out.append((page_id, url, host, path, page, hashes, name))
+            yield out
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the comparison needs of every page, with an article or without: no texts."""
+    for pages in _pages(batches):
+        yield _batch([(page_id, row, host, path, hashes, page.place, [len(b) for b in page.seen])
+                      for page_id, _, host, path, page, hashes, row in pages], _PARSED)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for pages in _pages(batches):
+        yield _batch([(page_id, url, row, page.blocks) for page_id, url, _, _, page, _, row in pages], _READ)
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,39 +306,59 @@ def neighbours(pages: DataFrame) -> DataFrame:
         .otherwise(F.col("after")).alias("after"))
 
 
+def shared(own: list[int], place: list[int], sizes: list[int],
+           other: list[int], other_place: list[int]) -> list[tuple[int, int, bool]]:
+    """Candidates of a page that a neighbour shares: number, hash, whether no article holds them."""
+    same = set(aligned(own, other))
+    mine = candidates(place)
+    if not same or sum(sizes[i] for i in mine if i in same) >= COPY * sum(sizes[i] for i in mine):
+        return []
+    outside = {v for v, p in zip(other, other_place) if p == OUTSIDE}
+    return [(n, own[i], place[i] == OUTSIDE and own[i] in outside) for n, i in enumerate(mine) if i in same]
+
+
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is left of open pages after the blocks shared with either neighbour."""
+    """What each page of a pair shares with the other."""
     for batch in batches:
-        texts = []
-        for blocks, own, *others in zip(*(batch.column(c).to_pylist() for c in ("blocks", "open", "x", "y"))):
-            gone: set[int] = set()
-            for other in others if own else ():
-                shared = aligned(own, other or [])
-                if sum(len(blocks[i]) for i in shared) < COPY * sum(map(len, blocks)):
-                    gone.update(shared)
-            texts.append("\n".join(b for i, b in enumerate(blocks) if i not in gone))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-            names=["page_id", "url", "text"])
+        out = []
+        names = ("row", "after", "host", "hashes", "place", "sizes", "next_hashes", "next_place", "next_sizes")
+        for row, after, host, x, p, m, y, q, n in zip(*(batch.column(c).to_pylist() for c in names)):
+            out += [(row, host, *found) for found in shared(x, p, m, y, q)]
+            out += [(after, host, *found) for found in shared(y, q, n, x, p)]
+        yield _batch(out, _SHARED)
+
+
+def deletions(parsed: DataFrame) -> DataFrame:
+    """(row, gone): numbers of the candidates that the comparison with the neighbours deletes."""
+    pages = parsed.select("row", "host", "hashes", "place", "sizes").dropDuplicates(["row"])
+    after = pages.drop("host").withColumnsRenamed(
+        {"row": "after", **{c: f"next_{c}" for c in ("hashes", "place", "sizes")}})
+    order = parsed.groupBy("row").agg(F.min(F.struct("host", "path", "page_id")).alias("at")).select("row", "at.*")
+    pairs = neighbours(order).filter("after is not null").select("row", "after") \
+        .join(pages, "row").join(after, "after")
+    found = staged(pairs.mapInArrow(_differ, "row long, host string, position int, hash long, sure boolean"))
+    # Lines of articles: on how many of the host's different pages they stand.
+    line, asked = ["host", "hash"], found.filter("not sure")
+    different = parsed.select("host", "hashes").dropDuplicates()
+    counts = different.select("host", F.explode(F.array_distinct("hashes")).alias("hash")) \
+        .groupBy(line).agg(F.count("*").alias("n"))
+    totals = different.groupBy("host").agg(F.count("*").alias("pages"))
+    site = counts.join(asked.select(line).distinct(), line, "left_semi").join(totals, "host") \
+        .filter((F.col("pages") >= SITE_PAGES) & (F.col("n") >= SITE_SHARE * F.col("pages")))
+    return found.filter("sure").select("row", "position") \
+        .unionByName(asked.join(site, line, "left_semi").select("row", "position")) \
+        .groupBy("row").agg(F.collect_set("position").alias("gone"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars. Takes page_id (integer), url, html."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     parsed = staged(rows.mapInArrow(
-        _parse, "page_id long, url string, row long, host string, path string, "
-                "blocks array<string>, open array<long>"))
-    near = neighbours(parsed)
-    hashes = parsed.filter(F.size("open") > 0).select("row", "open").dropDuplicates(["row"])
-    x = hashes.select(F.col("row").alias("before"), F.col("open").alias("x"))
-    y = hashes.select(F.col("row").alias("after"), F.col("open").alias("y"))
-    sides = near.join(hashes.select("row"), "row", "left_semi") \
-        .join(x, "before", "left").join(y, "after", "left").select("row", "x", "y")
-    # Pages that their markup decides stay where they are; only open ones meet their neighbours.
-    columns = ["page_id", "url", "blocks", "open", "x", "y"]
-    nothing = F.lit(None).cast("array<long>")
-    decided = parsed.filter(F.size("open") == 0).withColumns({"x": nothing, "y": nothing}).select(columns)
-    left_open = parsed.filter(F.size("open") > 0).join(sides, "row", "left").select(columns)
-    return decided.unionByName(left_open) \
-        .mapInArrow(_differ, "page_id long, url string, text string") \
+        _parse, "page_id long, row long, host string, path string, hashes array<long>, place array<tinyint>, "
+                "sizes array<int>"))
+    gone = staged(deletions(parsed))
+    kept = F.filter("blocks", lambda _, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
+    return rows.mapInArrow(_read, "page_id long, url string, row long, blocks array<string>") \
+        .join(gone, "row", "left") \
+        .select("page_id", "url", F.array_join(kept, "\n").alias("text")) \
         .withColumn("n_chars", F.length("text").cast("long"))

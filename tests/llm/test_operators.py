@@ -167,6 +167,39 @@ def test_main_text(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_articles_meet_their_neighbours(spark):
+    def page(i, inside, outside=""):
+        return f"<body>{outside}<article><h1>Head {i}</h1><p>Own text of page {i}, long enough</p>{inside}</article>"
+
+    every, some = "<p>Read it in our app", "<p>This work is free to copy"
+    rows = [(i, f"http://a.example/{i}", page(i, every + (some if i in (2, 3, 4) else ""))) for i in range(8)]
+    # Too few pages to tell; pages that are copies; one text under many addresses.
+    rows += [(10 + i, f"http://b.example/{i}", page(i, every)) for i in range(4)]
+    rows += [(20 + i, f"http://c.example/{i}", page(0, every + some)) for i in range(6)]
+    rows += [(30 + i, f"http://d.example/{i}", page(i if i > 5 else 0, some)) for i in range(9)]
+    rows += [(60 + i, f"http://a.example/5?x={i}", page(5, every)) for i in range(4)]
+    # An article page tells what is outside of articles; what is inside of its own is no evidence.
+    rows += [(40, "http://e.example/0", page(0, some, "<p>Menu without a mark")),
+             (41, "http://e.example/1", "<p>Menu without a mark<p>This work is free to copy<p>Open page's own text")]
+    pages = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string")
+    parsed = html_text.staged(pages.mapInArrow(
+        html_text._parse, "page_id long, row long, host string, path string, hashes array<long>, "
+                          "place array<tinyint>, sizes array<int>"))
+    assert parsed.filter("size(hashes) = 0").count() == 0
+    assert len(html_text.deletions(parsed).collect()) == 8 + 1
+    got = html_text.main_text(pages).collect()
+    assert len(got) == len(rows) + 1
+    found = {r.page_id: r.text.split("\n") for r in got}
+    own = {i: [f"Head {i}", f"Own text of page {i}, long enough"] for i in range(10)}
+    app, free = "Read it in our app", "This work is free to copy"
+    assert all(found[i] == own[i] + ([free] if i in (2, 3, 4) else []) for i in range(8))
+    assert all(found[60 + i] == own[5] for i in range(4))
+    assert all(found[10 + i] == [*own[i], app] for i in range(4))
+    assert all(found[20 + i] == [*own[0], app, free] for i in range(6))
+    assert all(found[30 + i] == [*own[i if i > 5 else 0], free] for i in range(9))
+    assert found[40] == [*own[0], free] and found[41] == [free, "Open page's own text"]
+
+
 def test_neighbours_do_not_depend_on_ranges(spark):
     rows = [(i, "h" if i % 3 else "g", f"/{i % 10}", i) for i in range(60)]
     table = spark.createDataFrame(rows, "row long, host string, path string, page_id long")
