@@ -16,8 +16,10 @@ Which classes can be similar (n = length of the joined tokens, t = allowed share
        k = 2     characters in four groups, two of them the same: six keys
        k = 3     characters in five groups, two of them the same: ten keys
        k >= 4    adjacent pairs in 3k + 1 groups, one of them the same
-     Where many classes share a key for k = 2, such as texts with serial numbers, these classes
-     get the more exact keys of one deletion on either side, and of two characters less.
+     Where many classes share a key for k = 2, such as texts with codes, these classes get fifteen
+     of characters in six groups, four of them the same. Where many share one of these, such as
+     texts with serial numbers, the classes get the exact keys of one deletion on either side,
+     and of two characters less, which are hundreds.
 Both give candidates only. Bitmaps of tokens and of adjacent pairs rule out most of them in the join;
 each other one is scored, so no hash collision can do harm.
 
@@ -32,11 +34,14 @@ so that its sum is the number of pairs; it needs all links between classes.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfproof.functions import similarity
-from shelfproof.session import cut_lineage
+from shelfproof.session import cut_lineage, written
 
 
 def _hash40(item: Column) -> Column:
@@ -55,8 +60,8 @@ def describe(articles: DataFrame) -> DataFrame:
     return (articles.select("article_id", "parent_article_id", "merch_category",
                             tokens.alias("tokens"))
             .where(F.col("merch_category").isNotNull() & (F.size("tokens") > 0))
-            .withColumn("class", F.md5(F.concat_ws("\x1f", F.col("merch_category"),
-                                                   similarity.joined(F.col("tokens"))))))
+            .withColumn("class", F.unhex(F.md5(F.concat_ws("\x1f", F.col("merch_category"),
+                                                           similarity.joined(F.col("tokens")))))))
 
 
 def classes_of(described: DataFrame) -> DataFrame:
@@ -81,8 +86,10 @@ def _allowed(length: Column, threshold: int) -> Column:
 ALIKE, LESS, WHOLE, RARE, ALL = range(5)
 #: Words of 64 bits in the bitmap of adjacent pairs.
 WORDS = 4
-#: Classes with a key for k = 2 from which on the exact keys are used instead.
+#: Classes with a key for k = 2 from which on more exact keys are used instead.
 DENSE = 33
+#: The same for the more exact keys: chance hits are fewer there.
+DENSE_CLOSER = 9
 
 
 def _total() -> Column:
@@ -93,23 +100,28 @@ def _bit(place: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
 
 
+def _pairs() -> Column:
+    """Adjacent pairs of characters of `padded`."""
+    return F.transform(F.sequence(F.lit(1), F.col("length") + 1), lambda i: F.col("padded").substr(i, F.lit(2)))
+
+
+def _padded() -> Column:
+    return F.concat(F.lit(" "), similarity.joined(F.col("tokens")), F.lit(" "))
+
+
 def _with_features(classes: DataFrame, threshold: int) -> DataFrame:
-    """Add k, the bounds and bitmaps that candidates are judged by (`x`), characters and pairs."""
-    text = similarity.joined(F.col("tokens"))
-    spots = F.transform("pairs", lambda p: F.pmod(_hash40(p), F.lit(64 * WORDS)))
+    """Add k, and the bounds and bitmaps that candidates are judged by (`x`)."""
+    spots = F.transform(_pairs(), lambda p: F.pmod(_hash40(p), F.lit(64 * WORDS)))
     bits = [F.aggregate(F.filter("spots", lambda p: F.floor(p / 64) == w), F.lit(0).cast("long"),
                         lambda s, p: s.bitwiseXOR(_bit(p % 64))) for w in range(WORDS)]
     sig = F.aggregate("tokens", F.lit(0).cast("long"),
                       lambda s, t: s.bitwiseOR(_bit(F.pmod(_hash40(t), F.lit(64)))))
     k = _allowed(F.col("length"), threshold)
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
     return (classes.withColumn("k", k)
             # A partner may be shorter by k, or longer; a pair looks for one another by one k.
             .withColumn("k_low", F.greatest(F.lit(1), _allowed(F.col("length") - F.col("k"), threshold)))
             .withColumn("k_high", _allowed(F.col("length") + F.col("k"), threshold))
-            .withColumn("padded", padded)
-            .withColumn("pairs", F.transform(F.sequence(F.lit(1), F.col("length") + 1),
-                                             lambda i: F.col("padded").substr(i, F.lit(2))))
+            .withColumn("padded", _padded())
             .withColumn("spots", spots)
             .withColumn("miss", F.floor(F.col("k") / 2).cast("int"))
             .withColumn("x", F.struct("first", "class", "length", "miss", sig.alias("sig"),
@@ -156,16 +168,16 @@ def _two_fewer_keys(rows: DataFrame, space: int) -> DataFrame:
         _listed(summed, space, F.col("sum"), WHOLE))
 
 
-def _group_keys(rows: DataFrame, space: int, groups: int) -> DataFrame:
-    """Characters in groups; a key for any two groups together, the others being changed."""
+def _group_keys(rows: DataFrame, space: int, groups: int, same: int = 2) -> DataFrame:
+    """Characters in groups; a key for any `same` groups together, the others being changed."""
     chars = F.split(similarity.joined(F.col("tokens")), "")
     sums = [F.aggregate(F.filter("chars", lambda c: F.ascii(c) % groups == g), F.lit(0).cast("long"),
                         lambda s, c: s + _hash40(c)) for g in range(groups)]
-    keys = [F.struct(F.lit(groups * i + j).alias("which"), (F.col("sums")[i] + F.col("sums")[j]).alias("sum"))
-            for i in range(groups) for j in range(i + 1, groups)]
+    keys = [F.struct(F.lit(n).alias("which"), reduce(Column.__add__, [F.col("sums")[g] for g in chosen]).alias("sum"))
+            for n, chosen in enumerate(combinations(range(groups), same))]
     keyed = rows.withColumn("chars", chars).withColumn("sums", F.array(*sums)) \
-        .withColumn("two", F.explode(F.array(*keys)))
-    return _listed(keyed, space, F.col("two"), ALIKE)
+        .withColumn("some", F.explode(F.array(*keys)))
+    return _listed(keyed, space, F.col("some"), ALIKE)
 
 
 def _grid(k: Column) -> Column:
@@ -177,7 +189,7 @@ def _pair_keys(rows: DataFrame, space: int) -> DataFrame:
     """Adjacent pairs in 3 k + 1 groups, a key each."""
     levels = F.array_distinct(F.transform(
         F.sequence(F.greatest(F.lit(4), F.col("k_low")), F.col("k")), _grid))
-    keyed = (rows.withColumn("hashes", F.transform("pairs", _hash40))
+    keyed = (rows.withColumn("padded", _padded()).withColumn("hashes", F.transform(_pairs(), _hash40))
              .withColumn("level", F.explode(levels))
              .withColumn("group", F.explode(F.sequence(F.lit(0), 3 * F.col("level"))))
              .withColumn("sum", F.aggregate(
@@ -186,18 +198,26 @@ def _pair_keys(rows: DataFrame, space: int) -> DataFrame:
     return _listed(keyed, space + F.col("level"), F.struct("group", "sum"), ALIKE)
 
 
+def _sparse(keys: DataFrame, classes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Entries of the lists that are not dense, and the classes that are in one that is."""
+    # Read three times below.
+    keys = written(keys)
+    dense = keys.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= most).select("list")
+    crowd = keys.join(dense, "list", "left_semi").select("class").distinct()
+    return keys.join(dense, "list", "left_anti"), classes.join(crowd, "class", "left_semi")
+
+
 def _edit_keys(classes: DataFrame) -> DataFrame:
     """Path B. Spaces: 1 for k = 1; 2 to 6 for k = 2; 7 for k = 3; 10 and more beyond.
 
-    Texts of different k meet by the lower one, but by 2 if that is 1: six keys are the fewest.
+    Texts of different k meet by the lower one, but by 2 if that is 1: six keys are the fewest. Two
+    that share a dense list are crowded both, so they meet by the keys that crowded ones have.
     """
-    two = _group_keys(classes.where("k >= 2 AND k_low <= 2 OR k = 1 AND k_high >= 2"), 2, 4)
-    dense = two.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= DENSE).select("list")
-    exact = two.join(dense, "list", "left_semi").select("class").distinct()
-    crowded = classes.join(exact, "class", "left_semi")
-    keys = [_deletion_keys(classes.where("k = 1"), 1, both=False),
-            two.join(dense, "list", "left_anti"),
-            _deletion_keys(crowded, 3, both=True), _two_fewer_keys(crowded, 5),
+    of_two = classes.where("k >= 2 AND k_low <= 2 OR k = 1 AND k_high >= 2")
+    two, crowded = _sparse(_group_keys(of_two, 2, 4), of_two, DENSE)
+    four, alike = _sparse(_group_keys(crowded, 6, 6, same=4), crowded, DENSE_CLOSER)
+    keys = [_deletion_keys(classes.where("k = 1"), 1, both=False), two, four,
+            _deletion_keys(alike, 3, both=True), _two_fewer_keys(alike, 5),
             _group_keys(classes.where("k >= 3 AND k_low <= 3"), 7, 5),
             _pair_keys(classes.where("k >= 4"), 10)]
     out = keys[0]
@@ -211,19 +231,24 @@ def _token_keys(classes: DataFrame) -> DataFrame:
 
     The missing ones and a blank each have k characters at most: a token that is longer is a
     key alone, else the rarest are keys that together are longer. (They may be all tokens:
-    one is shared at least.)
+    one is shared at least.) Tokens that no class has as a key have no list.
     """
-    tokens = classes.select("category", "class", "k", F.explode("tokens").alias("token"))
-    frequency = tokens.groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
+    tokens = classes.select("category", "class", "k", F.explode("tokens").alias("token")).select(
+        F.xxhash64("category", F.lit(0), "token").alias("list"), "class", "k",
+        (F.length("token") + 1).alias("size"))
+    # Most tokens may be codes that one class has: these need no row.
+    several = tokens.groupBy("list").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     of_class = Window.partitionBy("class")
-    before = of_class.orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
-    rare = (tokens.join(frequency, ["category", "token"])
-            .withColumn("size", F.length("token") + 1)
+    before = of_class.orderBy("df", "list").rowsBetween(Window.unboundedPreceding, -1)
+    rare = (tokens.join(several, "list", "left").withColumn("df", F.coalesce("df", F.lit(1)))
             .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
             .where(F.col("before") <= F.col("k"))
             .withColumn("most", F.max("size").over(of_class))
             .where((F.col("most") <= F.col("k")) | (F.col("size") > F.col("k"))))
-    return _listed(rare, 0, F.col("token"), RARE).unionByName(_listed(tokens, 0, F.col("token"), ALL))
+    rare = written(rare.select("list", F.lit(RARE).alias("kind"), "class", "df"))
+    asked = rare.where("df > 1").select("list").distinct()
+    held = tokens.join(asked, "list", "left_semi").select("list", F.lit(ALL).alias("kind"), "class")
+    return rare.drop("df").unionByName(held)
 
 
 def _possible(x: Column, y: Column, kind: Column, threshold: int) -> Column:
@@ -258,15 +283,17 @@ def _all_candidates(keys: DataFrame, threshold: int) -> DataFrame:
 
 def _shared(keys: DataFrame, featured: DataFrame) -> DataFrame:
     """(list, kind, x): entries of lists with two classes or more that meet; most keys have one."""
-    keys = cut_lineage(keys)
+    keys = written(keys)
 
     def some(kind: int) -> Column:
         return F.bool_or(F.col("kind") == kind)
 
+    # Numbers in place of the class, so that aggregation needs no sort.
+    one, other = F.xxhash64("class"), F.hash("class")
     several = keys.groupBy("list").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"),
+        ((F.min(one) != F.max(one)) | (F.min(other) != F.max(other))).alias("differ"),
         (some(ALIKE) | (some(LESS) & some(WHOLE)) | (some(RARE) & some(ALL))).alias("meet")) \
-        .where("low <> high AND meet").select("list")
+        .where("differ AND meet").select("list")
     return keys.join(several, "list", "left_semi").join(featured.select("class", "x"), "class") \
         .select("list", "kind", "x")
 
@@ -334,15 +361,18 @@ def similar_classes(classes: DataFrame, threshold: int = 97) -> DataFrame:
 #: Entries of each list in the first whole round; how many times more each next one takes; entries
 #: that travel together; copies of these, so that the askers of a long list spread over as many tasks.
 ROUND, GROWTH, CHUNK, SALTS = 64, 64, 64, 8
+#: Askers of a list from which on its entries are copied.
+CROWD = 1024
 
 
 def _numbered(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings (list, kind, pos, x) and asks (list, kind, meets, bound, limit, x) of all keys.
+    """Postings (list, kind, pos, salts, x) and asks (list, kind, meets, limit, total, salts, x) of all keys.
 
     Entries of a list are numbered by their earliest record, each kind for itself. Lists are
     range-partitioned, so that a long one spreads over many partitions: a number is the number
     in the partition plus the counts of the partitions before it. limit: how many entries of the
-    kind that it meets an entry has before it, and, as `total`, in all.
+    kind that it meets an entry has before it, and, as `total`, in all. salts: of how many copies of
+    a posting each ask takes one; where few ask there is one.
     """
     second = F.col("kind").isin(WHOLE, ALL).cast("int")
     # Written once, so that a retry cannot meet other range bounds.
@@ -363,11 +393,18 @@ def _numbered(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
               .withColumns({f"at{i}": F.col(f"seen{i}") + F.col(f"offset{i}") for i in (0, 1)}))
     meets = _meets(F.col("kind"))
     other = meets.isin(WHOLE, ALL)
+
+    def salts(askers: Column) -> Column:
+        return F.when(askers > CROWD, SALTS).otherwise(1)
+
     rows = cut_lineage(placed.select(
         "list", "kind", "x", F.when(second == 1, F.col("at1")).otherwise(F.col("at0")).alias("pos"),
         meets.alias("meets"), F.when(other, F.col("at1")).otherwise(F.col("at0")).alias("limit"),
-        F.when(other, F.col("total1")).otherwise(F.col("total0")).alias("total")))
-    return rows.select("list", "kind", "pos", "x"), rows.drop("pos").where("total > 0")
+        F.when(other, F.col("total1")).otherwise(F.col("total0")).alias("total"),
+        F.when(second == 1, F.col("total1")).otherwise(F.col("total0")).alias("own")))
+    # An entry is asked by those that it meets.
+    postings = rows.where("total > 0").select("list", "kind", "pos", salts(F.col("total")).alias("salts"), "x")
+    return postings, rows.where("total > 0").withColumn("salts", salts(F.col("own"))).drop("pos", "own")
 
 
 def _bounded(firsts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -403,15 +440,15 @@ def _earliest_links(described: DataFrame, classes: DataFrame, threshold: int) ->
         asks.withColumn("class", F.col("x.class")).join(bounds, "class")
         .withColumn("limit", F.when(F.col("bound") <= F.col("first"), F.col("limit")).otherwise(F.col("total")))
         .where("limit > 0").drop("first", "total")
-        .withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int")))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        .withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")).cast("int")).drop("salts"))
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
     found: DataFrame | None = None
     low, high, heads = 0, 1, True
     while not asks.isEmpty():
         chunk = F.floor((F.col("pos") - low) / CHUNK)
         chunks = (postings.where((F.col("pos") >= low) & (F.col("pos") < high))
-                  .groupBy("list", F.col("kind").alias("meets"), chunk.alias("chunk"))
-                  .agg(F.collect_list("x").alias("entries")).withColumn("salt", salts))
+                  .groupBy("list", F.col("kind").alias("meets"), chunk.alias("chunk"), "salts")
+                  .agg(F.collect_list("x").alias("entries")).withColumn("salt", salts).drop("salts"))
         last = F.floor((F.least(F.col("limit"), F.lit(high)) - 1 - low) / CHUNK)
         asked = asks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         candidates = (asked.join(chunks, ["list", "meets", "chunk", "salt"])
@@ -463,7 +500,7 @@ def _linked(articles: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     A class with copies is linked to itself.
     """
     _checked(threshold)
-    described = cut_lineage(describe(articles))
+    described = written(describe(articles))
     classes = cut_lineage(_with_features(classes_of(described), threshold))
     keys = _keys(classes)
     # Read by every list of match_counts.
@@ -485,7 +522,7 @@ def flagged(articles: DataFrame, threshold: int = 97) -> DataFrame:
     """record_id, first_match (the earliest record it matches) and their score."""
     _checked(threshold)
     # Read in every round below.
-    described = cut_lineage(describe(articles))
+    described = written(describe(articles))
     classes = cut_lineage(_with_features(classes_of(described), threshold))
     links = _earliest_links(described, classes, threshold)
     own = classes.where("members > 1").select(
@@ -532,7 +569,7 @@ def match_counts(articles: DataFrame, threshold: int = 97) -> DataFrame:
         """The records of the classes in `of`, as entries of the lists that `key` names."""
         rows = of.select(F.col(key).alias("list"), F.col("class")).distinct()
         return record.join(rows, "class").select(
-            F.concat(F.lit(kind), F.col("list")).alias("list"), "id",
+            F.concat(F.lit(kind), F.hex("list")).alias("list"), "id",
             F.lit(is_member).alias("is_member"))
 
     looked_up = lookup.select("matched_class", F.col("matched_class").alias("class"))

@@ -220,3 +220,32 @@ def test_a_code_is_a_key_alone(spark):
     again = [*rows, ("A900", f"ring large {codes[5]}", "c", None), ("A901", "large ring 1", "c", None),
              ("A902", "a b c d", "c", None), ("A903", "d c b a e", "c", None)]
     assert actual(spark, [(a, d, c, p) for a, d, c, p in again]) == expected(again)
+
+
+def test_codes_in_crowded_families_have_few_keys(spark):
+    """Where the lists of six keys are long, fifteen closer ones take their place, not hundreds."""
+    rng = random.Random(12)
+    codes = [f"{rng.getrandbits(64):016x}" for _ in range(1500)]
+    rows = [(f"F{i:04d}", f"large ring LARGE {i % 2} {code}", "c", None) for i, code in enumerate(codes)]
+    # One digit replaced, one taken away, two taken away.
+    rows += [(f"G{i:04d}", f"large ring LARGE {i % 2} {code}", "c", None) for i, code in (
+        (0, codes[0][:-1] + ("0" if codes[0][-1] != "0" else "1")), (1, codes[1][:7] + codes[1][8:]),
+        (2, codes[2][1:-1]))]
+    df = spark.createDataFrame(rows, "article_id string, article_description string, "
+                                     "merch_category string, parent_article_id string")
+    classes = near_duplicates._with_features(
+        near_duplicates.classes_of(near_duplicates.describe(df)), 97).persist()
+    assert near_duplicates._edit_keys(classes).count() <= (6 + 15) * classes.count()
+    named = sorted((r.record_id, r.first_match) for r in near_duplicates.flagged(df).collect())
+    assert named == [(f"G{i:04d}", f"F{i:04d}") for i in range(3)]
+
+
+def test_postings_that_few_ask_are_not_copied(spark):
+    rows = [(f"A{i:04d}", f"Sparkling Widget Classic {i // 2:06d}{' x' * (i % 2)}", "c", None) for i in range(200)]
+    df = spark.createDataFrame(rows, "article_id string, article_description string, "
+                                     "merch_category string, parent_article_id string")
+    classes = near_duplicates._with_features(
+        near_duplicates.classes_of(near_duplicates.describe(df)), 97).persist()
+    postings, asks = near_duplicates._numbered(near_duplicates._keys(classes))
+    assert {r.salts for r in postings.select("salts").distinct().collect()} == {1}
+    assert {r.salts for r in asks.select("salts").distinct().collect()} == {1}
