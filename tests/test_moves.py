@@ -3,8 +3,10 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from shelfproof.operators import fused
+from shelfproof.operators import fused, rules
+from shelfproof.plans import queries
 from shelfproof.sources import adapter
 from tests.conftest import AS_OF
 
@@ -83,3 +85,30 @@ def test_items_go_on_to_the_articles_without_what_no_rule_needs(make):
     found = fused.item_exceptions(lean, AS_OF, units=True)
     assert found.count() > 8
     assert rows_of(found) == rows_of(fused.item_exceptions(fused.enrich(t), AS_OF, units=True))
+
+
+def test_unlisted_items_are_those_of_an_anti_join(make, no_broadcast):
+    t = _cases(make)
+    same = ["article_id", "store_group"]
+    want = (t["promotion_item"].join(t["promotion_header"].select("promo_id", "store_group"), "promo_id")
+            .join(t["article_master"], "article_id", "left_semi").join(t["listing"], same, "left_anti"))
+    got = rules.listing_conflict(t, AS_OF)
+    assert rows_of(got.select("record_id")) == rows_of(want.select(F.col("promo_item_id").alias("record_id")))
+    assert "Exchange hashpartitioning(article_id" in (plan := got._jdf.queryExecution().executedPlan().toString())
+    assert "Exchange hashpartitioning(article_id, store_group" not in plan.replace("#", ", #") \
+        and "store_group#" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_the_rules_read_tables_that_are_built_once(spark, make, monkeypatch):
+    built = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        built.add(1)
+        return x
+
+    t = make(items=[{"promo_item_id": f"I{i}", "article_id": "F"} for i in range(20)])
+    t = t.replace(promotion_item=t["promotion_item"].withColumn("promo_item_id", counted("promo_item_id")))
+    monkeypatch.setattr(queries, "_dirty", lambda *_: t)
+    assert queries.QUERIES["e02_worklist_by_rule"](spark, "made").count() >= 20
+    assert built.value == 20
