@@ -32,6 +32,7 @@ from shelfproof.schema import (
     TRUTH_SEVERITY,
     Tables,
 )
+from shelfproof.session import written
 
 BANDS = {
     "promotion_item": ("referential_integrity", "header_item_date_mismatch", "margin_breach"),
@@ -66,18 +67,26 @@ def _only(name: str, holds: Column, value: Column) -> Column:
 
 
 def _entry(kind: str, holds: Column, table: str, key: str, changed: str | Column, old: Column,
-           new: Column, source: str | None = None) -> Column:
-    """A log row of the record if it has the defect."""
+           new: Column, source: str | None = None) -> tuple[str, Column]:
+    """The kind, and a log row of the record if it has the defect."""
     lit, record = F.lit, F.col(key)
     number = F.substring(F.md5(F.concat_ws(":", lit(kind), record, F.col(source or key))), 1, 16)
     values = (F.concat(lit("GT"), number), lit(table), record, lit(kind), lit(TRUTH_SEVERITY[kind]),
               lit(TRUTH_IMPACT[kind]), lit(changed) if isinstance(changed, str) else changed,
               old.cast("string"), new.cast("string"))
-    return F.when(holds, F.struct(*[v.alias(n) for v, n in zip(values, TRUTH_SCHEMA.names)]))
+    return kind, F.when(holds, F.struct(*[v.alias(n) for v, n in zip(values, TRUTH_SCHEMA.names)]))
 
 
-def _logged(rows: DataFrame, *entries: Column) -> DataFrame:
-    return rows.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+def _logged(rows: DataFrame, *entries: tuple[str, Column]) -> DataFrame:
+    """The entries that are there. Who asks for other kinds only is spared the rows by the optimizer."""
+    # One comparison a kind: the optimizer sees what contradicts them, as it does not with a list.
+    known = reduce(Column.__or__, [F.col("error_type") == kind for kind, _ in entries])
+    return rows.select(F.inline(F.filter(F.array(*[e for _, e in entries]), lambda e: e.isNotNull()))).where(known)
+
+
+def _repeats(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Keys that several rows have, with their number. Few, if any, so they are written to be small."""
+    return written(df.groupBy(key).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1))
 
 
 @dataclass
@@ -104,19 +113,40 @@ class Banded:
                 .where(pair.isNotNull()).select("article_id", "store_group")
                 .join(t["article_master"].select("article_id"), "article_id", "left_semi"))
 
-    def changed_items(self) -> DataFrame:
-        """Items with new_article, new_end and new_price (null: unchanged)."""
+    def changed_items(self, rows: DataFrame | None = None) -> DataFrame:
+        """Items, or these of `_moved`, with new_article, new_end and new_price (null: unchanged)."""
         t, col = self.clean, F.col
         headers = t["promotion_header"].select("promo_id", "store_group", "header_end")
         articles = t["article_master"].select("article_id", "cost_price", F.lit(True).alias("has_article"))
         factor = 0.6 + 0.3 * (col("draw").cast("double") / float(16 ** 7))
         priced = col("mechanic").isin("fixed_price", "multibuy") & col("cost_price").isNotNull()
         late = F.date_add("header_end", (2 + col("draw") % 8).cast("int"))
-        return (self._moved().join(headers, "promo_id", "left").join(articles, "article_id", "left")
+        rows = self._moved() if rows is None else rows
+        return (rows.join(headers, "promo_id", "left").join(articles, "article_id", "left")
                 .withColumns({
                     "new_end": _only("header_item_date_mismatch", col("header_end").isNotNull(), late),
                     "new_price": _only("margin_breach", priced, F.round(col("cost_price") * factor, 2))}))
 
+    def new_items(self) -> DataFrame:
+        """The items as changed. Only those in a band that asks header or article meet them.
+
+        The others come as often as they would in a join, should keys be repeated there.
+        """
+        col, t = F.col, self.clean
+        asks = F.coalesce(col("band").isin("header_item_date_mismatch", "margin_breach"), F.lit(False))
+        changed = self.changed_items(self._moved().where(asks)).withColumns({
+            "article_id": F.coalesce("new_article", "article_id"),
+            "item_end": F.coalesce("new_end", "item_end"),
+            "promo_price": F.coalesce("new_price", "promo_price")})
+        times = F.coalesce("_headers", F.lit(1)) * F.coalesce("_articles", F.lit(1))
+        names = TABLE_SCHEMAS["promotion_item"].names
+        others = (self._moved().where(~asks)
+                  .join(_repeats(t["promotion_header"], "promo_id", "_headers"), "promo_id", "left")
+                  .join(_repeats(t["article_master"], "article_id", "_articles"), "article_id", "left")
+                  .withColumn("_time", F.explode(F.sequence(F.lit(1), times)))
+                  .withColumn("article_id", F.coalesce("new_article", "article_id")))
+        return changed.select(names).unionByName(others.select(names))
+
     def items(self) -> DataFrame:
         """`changed_items` with delisted."""
         col = F.col
@@ -194,7 +224,7 @@ class Banded:
     def tables(self) -> Tables:
         """The corrupted tables. Site and change-log rows stay as they are."""
         col = F.col
-        articles, items = self.articles(), self.changed_items()
+        articles = self.articles()
         hit = F.coalesce(col("nulled"), F.lit(""))
         changed = articles.withColumns({
             "status": F.when(col("new_date").isNotNull(), "discontinued").otherwise(col("status")),
@@ -220,10 +250,6 @@ class Banded:
         more = self.added().withColumns({
             "mechanic": F.lit("fixed_price"), "discount_value": F.lit(None).cast("double"),
             "multibuy_qty": F.lit(None).cast("int")})
-        new_items = items.withColumns({
-            "article_id": F.coalesce("new_article", "article_id"),
-            "item_end": F.coalesce("new_end", "item_end"),
-            "promo_price": F.coalesce("new_price", "promo_price")})
         status = (F.when(col("defect") == "orphaned_cancelled_header", "cancelled")
                   .when(col("defect") == "stale_status", "live")
                   .when(col("defect").isNull(), col("approval_status")))
@@ -234,8 +260,7 @@ class Banded:
             self._delisted(), ["article_id", "store_group"], "left_anti"))
         return self.clean.replace(
             article_master=doubled.select(names["article_master"]),
-            promotion_item=new_items.select(names["promotion_item"]).unionByName(
-                more.select(names["promotion_item"])),
+            promotion_item=self.new_items().unionByName(more.select(names["promotion_item"])),
             promotion_header=self.headers().withColumn("approval_status", status)
             .select(names["promotion_header"]),
             listing=left.select(names["listing"]))

@@ -21,7 +21,8 @@ def _keys(df: DataFrame, key: str, kind: str) -> DataFrame:
 def _item_side(t: Tables, as_of: date) -> DataFrame:
     """The eight types that items show, from one chain of joins."""
     col = F.col
-    enriched = fused.enrich(t)
+    # Taken before the items meet the articles, so that no header's dates go on with them.
+    enriched = fused.enrich(t, {"outside": col("has_header") & gate.outside()})
     floor_breach = (col("tobacco_floor_price").isNotNull()
                     & (col("promo_price") < col("tobacco_floor_price")))
     found = {
@@ -30,7 +31,7 @@ def _item_side(t: Tables, as_of: date) -> DataFrame:
             (col("article_status") == "discontinued") & (col("discontinued_date") < col("item_start")),
         ("listing_conflict", "promo_item_id"):
             col("has_header") & col("has_article") & ~col("is_listed"),
-        ("header_item_date_mismatch", "promo_item_id"): col("has_header") & gate.outside(),
+        ("header_item_date_mismatch", "promo_item_id"): col("outside"),
         ("uom_pack_mismatch", "article_id"):
             (col("mechanic") == "multibuy") & (col("base_uom") != "EA"),
         ("tobacco_floor_breach", "promo_item_id"): floor_breach,

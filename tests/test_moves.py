@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from shelfproof.operators import fused, rules
+from shelfproof.operators import bands, fused, rules
 from shelfproof.plans import queries
 from shelfproof.sources import adapter
 from tests.conftest import AS_OF
@@ -112,3 +112,25 @@ def test_the_rules_read_tables_that_are_built_once(spark, make, monkeypatch):
     monkeypatch.setattr(queries, "_dirty", lambda *_: t)
     assert queries.QUERIES["e02_worklist_by_rule"](spark, "made").count() >= 20
     assert built.value == 20
+
+
+def test_items_of_other_bands_do_not_meet_headers_but_repeat_with_them(make):
+    n = range(200)
+    t = make(articles=[{"article_id": f"A{i % 20}"} for i in range(25)],
+             headers=[{"promo_id": f"P{i % 10}"} for i in range(13)],
+             items=[{"promo_item_id": f"I{i}", "promo_id": f"P{i % 10}", "article_id": f"A{i % 20}"} for i in n]
+             + [{"promo_item_id": "N", "promo_id": None, "article_id": None}])
+    x = bands.Banded(t, as_of=AS_OF)
+    whole = x.changed_items().withColumns({
+        "article_id": F.coalesce("new_article", "article_id"), "item_end": F.coalesce("new_end", "item_end"),
+        "promo_price": F.coalesce("new_price", "promo_price")})
+    got = x.new_items()
+    assert whole.count() > 250
+    assert rows_of(got) == rows_of(whole.select(got.columns))
+
+
+def test_who_asks_the_log_for_copies_reads_articles_alone(make):
+    log = bands.Banded(make(), as_of=AS_OF).log()
+    plan = log.where("error_type = 'duplicate_near_duplicate'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1
+    assert log._jdf.queryExecution().optimizedPlan().toString().count("Generate inline") == 4
